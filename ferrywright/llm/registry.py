@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import tokens
+from . import mixing, simhash, tokens
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_mix_sources": mixing.op5_mix_sources,
         "op7_token_ids": tokens.op7_token_ids,
+        "op8_simhash": simhash.op8_simhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op5_mix_sources": mixing.ORACLE_SQL,
+    }
