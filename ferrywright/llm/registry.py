@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, simhash, tokens
+from . import mixing, simhash, tokens, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_warc_revisits": warc.op1_warc_revisits,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op7_token_ids": tokens.op7_token_ids,
         "op8_simhash": simhash.op8_simhash,
@@ -19,5 +20,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_warc_revisits": warc.ORACLE_SQL,
         "op5_mix_sources": mixing.ORACLE_SQL,
     }
