@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, simhash, tokens, warc
+from . import decontaminate, mixing, simhash, tokens, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_mix_sources": mixing.op5_mix_sources,
         "op7_token_ids": tokens.op7_token_ids,
         "op8_simhash": simhash.op8_simhash,
+        "op9_decontaminate": decontaminate.op9_decontaminate,
     }
 
 
