@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, simhash, tokens, warc
+from . import decontaminate, mixing, quality, simhash, tokens, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc_revisits": warc.op1_warc_revisits,
+        "op2_quality": quality.op2_quality,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op7_token_ids": tokens.op7_token_ids,
         "op8_simhash": simhash.op8_simhash,
