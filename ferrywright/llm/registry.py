@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, quality, simhash, tokens, warc
+from . import decontaminate, mixing, pii, quality, secrets, simhash, tokens, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc_revisits": warc.op1_warc_revisits,
         "op2_quality": quality.op2_quality,
+        "op3_personal_data": pii.op3_personal_data,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op7_token_ids": tokens.op7_token_ids,
         "op8_simhash": simhash.op8_simhash,
         "op9_decontaminate": decontaminate.op9_decontaminate,
+        "op10_secrets": secrets.op10_secrets,
     }
 
 
