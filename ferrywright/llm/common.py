@@ -73,18 +73,11 @@ def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFra
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with settings(spark, **{CLEANUP: "true"}):
         writer = df.write.option("compression", "zstd")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out

@@ -48,12 +48,13 @@ def first_of_payload(heads: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> Da
     return heads.where(F.col("bytes") >= min_bytes).groupBy("digest").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "first")
 
 
-def write_archive(pages: DataFrame, path: str, warc_date: str = "1970-01-01T00:00:00Z", min_bytes: int = MIN_REVISIT_BYTES) -> str:
+def write_archive(pages: DataFrame, path: str, warc_date: str = "1970-01-01T00:00:00Z", min_bytes: int = MIN_REVISIT_BYTES, compression: str = "gzip") -> str:
     """Write one record per page to WARC files at ``path``; returns the archive's number, which reading needs.
 
     Responses carry an HTTP head and the payload, revisits the head alone, the
     digest and the id of the response they refer to. All headers are fresh. Control
-    characters and spaces of a url are percent-coded; a null url is left out.
+    characters and spaces of a url are percent-coded; a null url is left out. Files
+    are gzipped unless ``compression`` says "none", by which they can be split on reading.
     """
     nonce = uuid.uuid4().hex[:16]
     nonce = f"{nonce[:8]}-{nonce[8:12]}-{nonce[12:]}"
@@ -76,7 +77,8 @@ def write_archive(pages: DataFrame, path: str, warc_date: str = "1970-01-01T00:0
         "Content-Type: application/http; msgtype=response", CRLF,
         "Content-Length: ", F.octet_length(block).cast("string"), CRLF, CRLF, block,
     )
-    told.select(record.alias("value")).write.option("lineSep", CRLF + CRLF).text(path)
+    with common.settings(pages.sparkSession, **{common.CLEANUP: "true"}):
+        told.select(record.alias("value")).write.option("lineSep", CRLF + CRLF).option("compression", compression).text(path)
     return nonce
 
 
@@ -116,7 +118,7 @@ def resolve_revisits(archive: DataFrame) -> DataFrame:
     return own.unionByName(again.drop("refers_to_id"))
 
 
-def archive_pages(pages: DataFrame, path: str | None = None) -> DataFrame:
+def archive_pages(pages: DataFrame, path: str | None = None, compression: str = "gzip") -> DataFrame:
     """Write ``pages`` as deduplicated WARC files (at a scratch path if None), read them back and resolve revisits.
 
     A null html is an empty payload. Rows without a page_id come last when a
@@ -128,7 +130,7 @@ def archive_pages(pages: DataFrame, path: str | None = None) -> DataFrame:
     # The rows are numbered twice, for choosing and for writing: a written table keeps both alike unless the input is files.
     if not pages.inputFiles() or "parquet" not in pages.inputFiles()[0]:
         pages = common.stage(common.pick(pages, page_id="page_id", url="url", html="html"), "pages")
-    nonce = write_archive(pages, path)
+    nonce = write_archive(pages, path, compression=compression)
     return resolve_revisits(read_archive(spark, path, nonce))
 
 

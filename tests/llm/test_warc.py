@@ -3,6 +3,7 @@
 import hashlib
 
 import duckdb
+import pytest
 
 from ferrywright.llm import common, warc
 
@@ -15,7 +16,8 @@ def test_table(spark, data):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(con.execute(warc.ORACLE_SQL).fetchall(), key=str)
 
 
-def test_edge_rows_and_small_splits(spark):
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+def test_edge_rows_and_small_splits(spark, compression):
     big = "<p>" + "é漢 long " * 60000 + "</p>"
     trap = "\r\n\r\nWARC/1.1\r\nWARC-Record-ID: <urn:uuid:00000000-0000-0000-0000-000000000000>\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n" * 3
     html = [None, "", "short", "short", "x" * 99, "x" * 99, "y" * 100, "y" * 100, "y" * 100, big, big, trap, trap, "\r\n" * 80, "z" * 200, "z" * 200]
@@ -23,7 +25,7 @@ def test_edge_rows_and_small_splits(spark):
     rows = [(i, None if n % 3 == 0 else f"http://h/{n}\r\nX: y é", h, "response", 0) for n, (i, h) in enumerate(zip(ids, html, strict=True))]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, record_type string, digest int").repartition(3)
     with common.settings(spark, spark__sql__files__maxPartitionBytes="7001", spark__sql__files__openCostInBytes="1"):
-        got = sorted(map(tuple, warc.archive_pages(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()), key=str)
+        got = sorted(map(tuple, warc.archive_pages(pages, compression=compression).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()), key=str)
     want = []
     groups = {}
     for i, h in zip(ids, html, strict=True):
@@ -40,7 +42,7 @@ def test_edge_rows_and_small_splits(spark):
 def test_files_are_plain_warc(spark):
     path = common.new_path(spark, "plain-warc")
     pages = spark.createDataFrame([(1, "http://a/", "p" * 150), (2, "http://b/", "p" * 150)], "page_id long, url string, html string").coalesce(1)
-    warc.write_archive(pages, path)
+    warc.write_archive(pages, path, compression="none")
     data = b"".join(bytes(r.content) for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).collect())
     kinds = []
     while data:
