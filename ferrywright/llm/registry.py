@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, pii, quality, secrets, simhash, tokens, warc
+from . import decontaminate, flac, mixing, pii, quality, secrets, simhash, tokens, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_warc_revisits": warc.op1_warc_revisits,
         "op2_quality": quality.op2_quality,
         "op3_personal_data": pii.op3_personal_data,
+        "op4_flac": flac.op4_flac,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op7_token_ids": tokens.op7_token_ids,
         "op8_simhash": simhash.op8_simhash,
