@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, flac, mixing, pii, quality, secrets, simhash, tokens, warc
+from . import decontaminate, flac, lines, mixing, pii, quality, secrets, simhash, tokens, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_personal_data": pii.op3_personal_data,
         "op4_flac": flac.op4_flac,
         "op5_mix_sources": mixing.op5_mix_sources,
+        "op6_line_dedup": lines.op6_line_dedup,
         "op7_token_ids": tokens.op7_token_ids,
         "op8_simhash": simhash.op8_simhash,
         "op9_decontaminate": decontaminate.op9_decontaminate,
