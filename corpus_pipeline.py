@@ -1,24 +1,83 @@
-"""The corpus pipeline: stages over whole tables, each written and read again."""
+"""The corpus pipeline: stages over whole tables, each written and read again.
+
+Quality, near-duplicates and decontamination drop documents, the mix drops and
+repeats them, and the last stage encodes what is left. A stage begins by releasing the scratch
+tables of the stages before it, whose results are written by then: write a stage's
+result before the next one is called, as run() does.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrywright.llm import common, tokens
+from ferrywright.llm import common, decontaminate, mixing, quality, simhash, tokens
+
+
+_scratch: list[str] = []
+
+
+def _stage(work: Callable) -> Callable:
+    """A stage that first releases the scratch tables of the stages before it, and no others of the session."""
+
+    @wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        common.release(spark, _scratch)
+        before = set(common.staged_paths(spark))
+        out = work(spark, docs, sf_dir)
+        _scratch[:] = [p for p in common.staged_paths(spark) if p not in before]
+        return out
+
+    return run_stage
+
+
+@_stage
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier keeps."""
+    return quality.keep_good(docs)
+
+
+@_stage
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, that with the smallest doc_id."""
+    return simhash.drop_near_duplicates(docs)
+
+
+@_stage
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, whole or edited."""
+    return decontaminate.drop_contaminated(docs, common.table(spark, sf_dir, "benchmark"))
+
+
+@_stage
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mix_documents(docs)
 
 
+@_stage
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Per document of the token shards: doc_id, start, n_tokens, ids_crc32."""
     return tokens.encode_corpus(docs)
 
 
-STAGES = [("token_ids", token_ids)]
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("source_mix", source_mix),
+    ("token_ids", token_ids),
+]
 
-#: Fingerprints and alignments are beyond SQL; tests hold the stages against brute force.
+#: Fingerprints, alignments and trained scorers are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the table of documents."""
     docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = common.stage(stage(spark, docs, sf_dir), name)
+        docs = common.stage(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
