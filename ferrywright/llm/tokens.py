@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +31,8 @@ END_ID = 0
 #: Ids in one shard (a longer document has a shard of its own), and in one block.
 CHUNK_IDS = 1 << 20
 BLOCK_IDS = 512
-#: Distinct words whose ids one Python worker keeps, about 150 MB; others are encoded when they come.
-CACHED_WORDS = 500_000
+#: Distinct words whose ids one Python worker keeps, about 200 MB; others are encoded when they come.
+CACHED_WORDS = 700_000
 
 STAGED = "part int, chunk int, part_offset long, n_ids long, doc_ids array<long>, doc_sizes array<long>, ids binary, used array<int>, used_counts array<long>"
 SHARDS = "part int, chunk int, n_ids long, shard binary"
@@ -43,33 +44,41 @@ _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+
 _ODD = re.compile("[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-\u052f\u2000-\u206f\u20a0-\u20bf]")
 
 
-class WordEncoder:
-    """Encodes texts through the tokenizers library, each distinct word once."""
+def _byte_letters() -> dict[int, str]:
+    """The byte-level vocabulary's letter for each byte: itself if it shows in print, else the next one from U+0100."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(0x100) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}
+
+
+class WordEncoder(dict):
+    """Encodes texts through the tokenizers library, each distinct word once: a dict of words' ids as bytes that fills itself.
+
+    A word goes straight to the library's model, in the letters of its byte-level vocabulary.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        odd = {i for i, t in enumerate(texts) if _ODD.search(t)}
-        for i, e in zip(sorted(odd), self.library.encode_batch_fast([texts[i] for i in sorted(odd)], add_special_tokens=False), strict=True):
-            out[i] = np.array(e.ids, dtype="<u4").tobytes()
-        words = {i: _WORDS.findall(t) for i, t in enumerate(texts) if i not in odd}
-        new = list(set().union(*words.values()).difference(self.known)) if words else []
-        ids = {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True)}
-        if len(self.known) + len(ids) <= CACHED_WORDS:
-            self.known.update(ids)
-            find = self.known.__getitem__
-        else:
-            known = self.known
-            find = lambda w: known.get(w) or ids[w]
-        for i, ws in words.items():
-            out[i] = b"".join(map(find, ws))
-        return out
+        self.model = self.library.model
+        self.letters = _byte_letters()
+        self.dtype = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
+        self.code = array("H").typecode if self.dtype == "<u2" else array("I").typecode
+
+    def __missing__(self, word: str) -> bytes:
+        spelt = word.encode("utf-8").decode("latin-1").translate(self.letters)
+        ids = array(self.code, [t.id for t in self.model.tokenize(spelt)]).tobytes()
+        if len(self) < CACHED_WORDS:
+            self[word] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        if _ODD.search(text):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+        return b"".join(map(self.__getitem__, _WORDS.findall(text)))
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -101,7 +110,8 @@ def stage_ids(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer or default_tokenizer())
         part = TaskContext.get().partitionId()
-        end = np.array([END_ID], dtype="<u4").tobytes()
+        width = np.dtype(encoder.dtype).itemsize
+        end = np.array([END_ID], dtype=encoder.dtype).tobytes()
         counts = np.zeros(1 << 16, dtype=np.int64)
         waiting: list[tuple[int | None, bytes]] = []
         held, chunk, offset = 0, 0, 0
@@ -109,7 +119,7 @@ def stage_ids(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
         def flush(last: bool) -> pa.RecordBatch:
             nonlocal waiting, held, chunk, offset, counts
             blob = b"".join(x for _, x in waiting)
-            ids = np.frombuffer(blob, dtype="<u4")
+            ids = np.frombuffer(blob, dtype=encoder.dtype)
             found = np.bincount(ids, minlength=len(counts))
             if len(found) > len(counts):
                 counts = np.pad(counts, (0, len(found) - len(counts)))
@@ -118,8 +128,8 @@ def stage_ids(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
             row = pa.RecordBatch.from_pydict(
                 {
                     "part": pa.array([part], pa.int32()), "chunk": pa.array([chunk], pa.int32()), "part_offset": [offset], "n_ids": [len(ids)],
-                    "doc_ids": pa.array([[d for d, _ in waiting]], pa.list_(pa.int64())), "doc_sizes": pa.array([[len(x) // 4 for _, x in waiting]], pa.list_(pa.int64())),
-                    "ids": pa.array([ids.astype("<u2").tobytes() if len(ids) == 0 or ids.max() < 1 << 16 else blob], pa.binary()),
+                    "doc_ids": pa.array([[d for d, _ in waiting]], pa.list_(pa.int64())), "doc_sizes": pa.array([[len(x) // width for _, x in waiting]], pa.list_(pa.int64())),
+                    "ids": pa.array([blob], pa.binary()),
                     "used": pa.array([used.tolist()], pa.list_(pa.int32())), "used_counts": pa.array([counts[used].tolist()], pa.list_(pa.int64())),
                 }
             )
@@ -128,11 +138,12 @@ def stage_ids(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
         for batch in batches:
             for piece in common.pieces(batch):
-                for doc, blob in zip(piece.column(0).to_pylist(), encoder.encode(piece.column(1).to_pylist()), strict=True):
-                    if waiting and held + len(blob) // 4 + 1 > CHUNK_IDS:
+                for doc, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
+                    blob = encoder.encode(text) + end
+                    if waiting and held + len(blob) // width > CHUNK_IDS:
                         yield flush(False)
-                    waiting.append((doc, blob + end))
-                    held += len(blob) // 4 + 1
+                    waiting.append((doc, blob))
+                    held += len(blob) // width
         yield flush(True)
 
     with common.settings(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="2000"):
