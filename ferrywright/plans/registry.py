@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ferrywright.plans import queries_checks, queries_movement, queries_relational
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _modules() -> list:
-    return []
+    return [queries_movement, queries_relational, queries_checks]
 
 
 def queries() -> dict[str, Query]:
