@@ -57,4 +57,4 @@ def stream_apply(stream: DataFrame, target_path: str, keys: Sequence[str], order
 
 def windowed_counts(stream: DataFrame, time: str, delay: str, window: str, by: Sequence[str]) -> DataFrame:
     """Counts by event-time window, late rows beyond the watermark left out; works on a stream and on a table."""
-    return stream.withWatermark(time, delay).groupBy(F.window(time, window), *by).agg(F.count(F.lit(1)).alias("n")).select(F.col("window.start").alias("window_start"), *by, "n")
+    return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay).groupBy(F.window(time, window), *by).agg(F.count(F.lit(1)).alias("n")).select(F.col("window.start").alias("window_start"), *by, "n")
