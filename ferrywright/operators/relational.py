@@ -154,6 +154,11 @@ def nls_sort(column: Column, collation: str = "UNICODE") -> Column:
     return F.collate(column, collation)
 
 
+def pipe_rows(df: DataFrame, rows: Column, name: str = "row") -> DataFrame:
+    """A function that returns rows, by an array expression: one row per element, none for an empty array."""
+    return df.withColumn(name, F.explode(rows))
+
+
 # Sets
 
 

@@ -115,6 +115,12 @@ def test_keep_and_theta_joins(spark):
     assert relational.outer_plus(a, b, F.col("x") == F.col("y"), side="left").count() == 2
 
 
+def test_pipe_rows(spark):
+    df = spark.createDataFrame([(3,), (0,)], "n int")
+    made = relational.pipe_rows(df, F.filter(F.sequence(F.lit(1), F.greatest("n", F.lit(1))), lambda i: i <= F.col("n")), "i")
+    assert [(r.n, r.i) for r in made.collect()] == [(3, 1), (3, 2), (3, 3)]
+
+
 def test_selection(spark):
     c = spark.createDataFrame([("TABLE", "EMP"), ("TABLE", "emp_old"), ("INDEX", "EMP"), ("VIEW", "V1")], "object_type string, object_name string")
     names = lambda df: sorted((r.object_type, r.object_name) for r in df.collect())
