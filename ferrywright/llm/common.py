@@ -65,16 +65,16 @@ def settings(spark: SparkSession, **conf: str):
                 spark.conf.set(k, v)
 
 
-def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def stage(df: DataFrame, name: str, partition_by: Sequence[str] = (), level: int = 3) -> DataFrame:
     """Write ``df`` as a scratch table and read it back.
 
     The shuffle files behind it are dropped as soon as the table is written:
-    whoever reads on reads the table.
+    whoever reads on reads the table. ``level`` is that of zstd.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
     with settings(spark, **{CLEANUP: "true"}):
-        writer = df.write.option("compression", "zstd")
+        writer = df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", str(level))
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)

@@ -24,7 +24,7 @@ BLOCK = 1024
 PAD = 64
 SAMPLE_RATE = 8000
 MAX_FIXED = 4
-LPC_ORDER = 4
+LPC_ORDER = 2
 LPC_BITS = 12
 #: Frames that are worked on at once, about this many samples.
 SLAB_SAMPLES = 1 << 20
@@ -511,5 +511,5 @@ def op4_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A null text is an empty one; an empty one is 64 zero bytes; null ids and repeated rows are carried.
     """
-    streams = common.stage(encode_media(common.table(spark, sf_dir, "documents")), "flac")
+    streams = common.stage(encode_media(common.table(spark, sf_dir, "documents")), "flac", level=9)
     return media_digests(streams)
