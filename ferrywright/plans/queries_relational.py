@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ferrywright.functions import mysql, oracle, tsql
 from ferrywright.operators import hierarchy, relational
-from ferrywright.plans.tables import new_orders, table
+from ferrywright.plans.tables import NEW_ORDERS_SQL, new_orders, table
 
 
 def j1_outer_plus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,5 +266,9 @@ QUERIES = {
     ),
     "q14_pivot": (q14_pivot, "SELECT o_orderpriority, nullif(count(*) FILTER (WHERE o_orderstatus = 'F'), 0) AS F, nullif(count(*) FILTER (WHERE o_orderstatus = 'O'), 0) AS O, nullif(count(*) FILTER (WHERE o_orderstatus = 'P'), 0) AS P FROM orders GROUP BY 1"),
     "q14_unpivot": (q14_unpivot, "SELECT l_orderkey, l_linenumber, 'l_discount' AS kind, l_discount AS rate FROM lineitem WHERE l_discount IS NOT NULL UNION ALL SELECT l_orderkey, l_linenumber, 'l_tax', l_tax FROM lineitem WHERE l_tax > 0.02"),
-    "u4_both_sides": (u4_both_sides, None),
+    "u4_both_sides": (
+        u4_both_sides,
+        f"""WITH n AS ({NEW_ORDERS_SQL}) SELECT 'old' AS side, count(*) AS n_rows FROM (SELECT o_custkey, o_orderstatus FROM orders EXCEPT ALL SELECT o_custkey, o_orderstatus FROM n)
+        UNION ALL SELECT 'new', count(*) FROM (SELECT o_custkey, o_orderstatus FROM n EXCEPT ALL SELECT o_custkey, o_orderstatus FROM orders)""",
+    ),
 }
