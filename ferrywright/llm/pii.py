@@ -62,7 +62,7 @@ def luhn(match: Column) -> Column:
 
 def small_parts(match: Column) -> Column:
     """Whether each dotted number is at most 255."""
-    return match.rlike(r"^(?:0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?:\.|$)){4}$")
+    return match.rlike(r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?:\.|$)){4}$")
 
 
 def with_spans(docs: DataFrame) -> DataFrame:

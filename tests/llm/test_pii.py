@@ -73,3 +73,12 @@ def test_added_spans(spark):
     got = pii.find_personal_data(docs).collect()
     kinds = {k.split(":")[0] for r in got for k in r.spans.split(",") if k}
     assert sum(r.n_added for r in got) > 100 and {"email", "phone"} <= kinds
+
+
+def test_parts_of_zeros(spark):
+    rng = random.Random(5)
+    fixed = ["10.0.0.1", "192.168.0.1 and 127.0.0.1", "0.0.0.0", "00.000.0000.0", "255.255.255.0", "0255.0256.0.0", "1.0.0.0256", "0" * 4000 + ".0.0.0"]
+    parts = ["0", "00", "000", "1", "010", "0255", "256", "00256"]
+    rows = [*fixed, *(" ".join(".".join(rng.choice(parts) for _ in range(rng.randint(3, 6))) for _ in range(3)) for _ in range(300))]
+    got = compare(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4))
+    assert {r.doc_id: r.n_ip for r in got if r.doc_id < 8} == {0: 1, 1: 2, 2: 1, 3: 1, 4: 1, 5: 0, 6: 0, 7: 1}
