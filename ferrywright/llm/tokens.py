@@ -62,7 +62,8 @@ class WordEncoder(dict):
 
         super().__init__()
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        #: What the library takes out of a text before it cuts words; such texts go to it whole.
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.model = self.library.model
         self.letters = _byte_letters()
         self.dtype = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
@@ -76,7 +77,7 @@ class WordEncoder(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        if _ODD.search(text):
+        if _ODD.search(text) or any(t in text for t in self.added):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
         return b"".join(map(self.__getitem__, _WORDS.findall(text)))
 

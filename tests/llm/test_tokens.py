@@ -96,3 +96,14 @@ def test_table_matches_library_and_blocks_can_be_read_alone(spark, data):
     shard = bytes(spark.read.parquet(path).orderBy("part", "chunk").first().shard)
     _, ids = tokens.decode_shard(shard)
     assert tokens.read_block(shard, 1).tolist() == ids[512:1024].tolist()
+
+
+def test_added_tokens_are_those_of_the_library_as_it_is(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokens.default_tokenizer())
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "  <|endoftext|>\n漢字", "a <|endoftext| > b", "plain words"]
+    got = tokens.encode_corpus(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("start").collect()
+    ids = [[*library.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    assert 50256 in ids[0] and 50256 not in ids[3]
+    assert [(r.n_tokens, r.ids_crc32) for r in got] == [(len(x), zlib.crc32(np.array(x, dtype="<u4").tobytes())) for x in ids]
