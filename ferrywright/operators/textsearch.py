@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferrywright.functions.cleaning import unaccent
@@ -44,10 +44,27 @@ def trigrams(column: Column) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(0), F.length(padded) - 3), lambda i: F.concat(F.get(letters, i), F.get(letters, i + 1), F.get(letters, i + 2))))
 
 
+def trigram_candidates(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """``(a_text, b_text, a_n, b_n)`` of the pairs that can be alike, of ``(a_text, a_n, g)`` and ``(b_text, b_n, g)`` tables.
+
+    Texts of a similarity of ``threshold`` share that part of each one's trigrams at least, so one of
+    the trigrams before them is shared too, if all are in one order. The rarest ones come first.
+    """
+    counts = left.select("g").unionAll(right.select("g")).groupBy("g").agg(F.count(F.lit(1)).alias("_held"))
+
+    def rarest(grams: DataFrame, name: str) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(f"{name}_text").orderBy("_held", "g"))
+        needed = F.greatest(F.lit(1), F.ceil(F.col(f"{name}_n") * threshold - 1e-9))
+        return grams.join(counts, "g").withColumn("_place", place).where(F.col("_place") <= F.col(f"{name}_n") - needed + 1).select(f"{name}_text", f"{name}_n", "g")
+
+    sizes = (F.col("a_n") >= F.col("b_n") * threshold - 1e-9) & (F.col("b_n") >= F.col("a_n") * threshold - 1e-9)
+    return rarest(left, "a").join(rarest(right, "b"), "g").where(sizes).select("a_text", "b_text", "a_n", "b_n").distinct()
+
+
 def trigram_join(a: DataFrame, b: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """``(a_id, b_id, similarity)`` of ``(id, text)`` tables: shared trigrams over all of both.
+    """``(a_id, b_id, similarity)`` of ``(id, text)`` tables: shared trigrams over all of both, of pairs that share any.
 
-    Both sides are first made distinct by text, so that many rows of one text cost no more than one; ids are joined back.
+    Only pairs that share one of their rarest trigrams are compared, by which no link is lost. Both sides are first made distinct by text, so that many rows of one text cost no more than one; ids are joined back.
     """
 
     def sides(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
@@ -56,6 +73,6 @@ def trigram_join(a: DataFrame, b: DataFrame, threshold: float = 0.3) -> DataFram
 
     left, left_ids = sides(a, "a")
     right, right_ids = sides(b, "b")
-    shared = left.join(right, "g").groupBy("a_text", "b_text", "a_n", "b_n").agg(F.count(F.lit(1)).alias("n"))
+    shared = trigram_candidates(left, right, threshold).withColumn("n", F.size(F.array_intersect(trigrams(F.col("a_text")), trigrams(F.col("b_text")))))
     similarity = F.col("n") / (F.col("a_n") + F.col("b_n") - F.col("n"))
     return shared.withColumn("similarity", similarity).where(F.col("similarity") >= threshold).select("a_text", "b_text", "similarity").join(left_ids, "a_text").join(right_ids, "b_text").select("a_id", "b_id", "similarity")

@@ -275,6 +275,25 @@ def test_text_search(spark):
     assert {(r.a_id, r.b_id) for r in textsearch.trigram_join(a, b, 0.4).collect()} == {(1, 7), (1, 8)}
 
 
+def test_trigram_join_against_all_pairs(spark):
+    rng = random.Random(6)
+    texts = lambda n: [(i, "common " + "".join(rng.choice("abcé ") for _ in range(rng.randint(0, 9)))) for i in range(n)] + [(n, ""), (n + 1, None)]
+    a, b = texts(120), texts(120)
+    fa, fb = (spark.createDataFrame(x, "id int, text string") for x in (a, b))
+    grams = lambda t: {p[i : i + 3] for p in [f"  {t.replace('é', 'e')} "] for i in range(len(p) - 2)}
+    for threshold in (0.0, 0.05, 0.3, 0.5, 0.8, 1.0):
+        want = {(i, j): len(x & y) / len(x | y) for i, s in a for j, t in b if s is not None and t is not None for x, y in [(grams(s), grams(t))] if x & y and len(x & y) / len(x | y) >= threshold}
+        got = textsearch.trigram_join(fa, fb, threshold).collect()
+        assert {(r.a_id, r.b_id): r.similarity for r in got} == want and len(got) == len(want)
+
+
+def test_frequent_trigrams_make_no_pairs(spark):
+    own = lambda base: spark.range(300).select((F.col("id") + base).alias("id"), F.concat(F.lit("all "), F.substring(F.md5((F.col("id") + base).cast("string")), 1, 16)).alias("text"))
+    sides = [d.select(F.col("text").alias(f"{k}_text"), F.size("g").alias(f"{k}_n"), F.explode("g").alias("g")) for k, d in (("a", own(0).withColumn("g", textsearch.trigrams(F.col("text")))), ("b", own(200).withColumn("g", textsearch.trigrams(F.col("text")))))]
+    assert 100 <= textsearch.trigram_candidates(*sides, 0.6).count() < 9000
+    assert textsearch.trigram_join(own(0), own(200), 0.6).count() == 100
+
+
 def test_assessment(spark):
     code = spark.createDataFrame([("d", "FUNCTION", "f", "BEGIN EXCEPTION WHEN OTHERS THEN NULL; x := EXTRACT(YEAR FROM d); END; " * 40), ("d", "VIEW", "v", None)], "db string, object_type string, name string, code string")
     got = {(r.name, r.keyword): (r.n, r.cost) for r in assessment.score_details(code).collect()}
