@@ -18,6 +18,8 @@ from . import common
 SEED_WORDS = 3
 #: A seed is rare if chance, by the corpus's counts of its words, brings it into at most so many of the documents of mean length.
 RARE_SHARE = 0.01
+#: An item's seeds are chosen by stretches of so many, so that each part of it has some.
+STRETCH_SEEDS = 8
 #: Scores of the word alignment, and the share of an item's best score from which a document counts as contaminated.
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.4
@@ -48,10 +50,13 @@ class SeedIndex:
             n = min(SEED_WORDS, len(ids))
             keys = self.keys(ids, n).tolist()
             chance = [mean_length * math.prod(share.get(w, 0.0) for w in ids[j : j + n].tolist()) for j in range(len(keys))]
-            rare = [j for j, c in enumerate(chance) if c <= RARE_SHARE]
-            # An item of common words alone keeps all its seeds.
-            for j in rare or range(len(keys)):
-                found[n][keys[j]].append((k, j))
+            # Seeds with a word that the corpus lacks are in no document.
+            held = [j for j, c in enumerate(chance) if c > 0 or counts is None]
+            for low in range(0, len(held), STRETCH_SEEDS):
+                stretch = held[low : low + STRETCH_SEEDS]
+                # A stretch of common words alone keeps all its seeds.
+                for j in [j for j in stretch if chance[j] <= RARE_SHARE] or stretch:
+                    found[n][keys[j]].append((k, j))
         self.tables = {}
         for n, by_key in found.items():
             keys = sorted(by_key)

@@ -79,3 +79,15 @@ def test_blocks_of_items_give_the_same_pairs(spark, data, monkeypatch):
     whole = sorted(map(tuple, dc.contaminated_pairs(docs, bench).collect()))
     monkeypatch.setattr(dc.item_blocks, "__defaults__", (300,))
     assert sorted(map(tuple, dc.contaminated_pairs(docs, bench).collect())) == whole
+
+
+def test_common_words_with_an_unseen_or_rare_one(spark):
+    rng = random.Random(8)
+    common_words = "the of and to in a is that".split()
+    text = lambda n: [rng.choice(common_words) for _ in range(n)]
+    item, other = text(40), text(40)
+    docs = [(n, " ".join(text(200))) for n in range(50)] + [(100, " ".join(text(80) + item + text(80))), (101, " ".join(text(80) + other[:19] + ["of"] + other[20:] + text(80))), (102, "rare " * 3)]
+    unseen, rare = item[:20] + ["unseen"] + item[21:], other[:19] + ["rare"] + other[20:]
+    bench = spark.createDataFrame([(1, " ".join(unseen)), (2, " ".join(rare))], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in dc.contaminated_pairs(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert {(100, 1), (101, 2)} <= got
