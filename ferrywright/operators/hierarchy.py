@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ferrywright.operators.relational import with_rownum
 from ferrywright.scratch import checkpoint
 
 
@@ -36,7 +37,10 @@ def connect_by(
     columns = df.columns
     base = df
     if siblings:
-        base = base.withColumn("_sibling", F.row_number().over(Window.partitionBy(parent).orderBy(*siblings, id)))
+        # Numbers over all rows order the children of each parent too, and a hot parent's rows are in many ranges.
+        tests = {"_is_root": start_with, "_is_child": edge_filter}
+        base = with_rownum(base.withColumns({c: F.lit(True) if test is None else test for c, test in tests.items()}), [*siblings, F.col(id)], "_sibling")
+        start_with, edge_filter = F.col("_is_root"), F.col("_is_child")
     level = base.where(start_with) if start_with is not None else base
     level = level.withColumn("level", F.lit(1))
     if path:
@@ -44,8 +48,7 @@ def connect_by(
     if nocycle:
         level = level.withColumns({"_seen": F.array(id), "is_cycle": F.lit(0)})
     if siblings:
-        roots = Window.orderBy(*siblings, id)
-        level = level.withColumn("_order", F.array(F.row_number().over(roots)))
+        level = level.withColumn("_order", F.array("_sibling"))
     level = checkpoint(level)
     levels, depth = [level], 1
     children = base.where(edge_filter) if edge_filter is not None else base

@@ -26,6 +26,25 @@ def test_siblings_and_paths(spark):
     assert got[5].path == "King/Kochhar/Greenberg/Faviet" and got[5].level == 4
 
 
+def test_siblings_need_no_row_number_in_one_task(spark, monkeypatch):
+    rng = random.Random(7)
+    people = [(0, None, "top")] + [(i, 0 if i < 60 else rng.randrange(60), rng.choice("abc")) for i in range(1, 150)]
+    plans, keep = [], hierarchy.checkpoint
+    monkeypatch.setattr(hierarchy, "checkpoint", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or keep(df))
+    frame = spark.createDataFrame(people, "id int, boss int, name string").repartition(5)
+
+    def below(rows):
+        for r in sorted(rows, key=lambda r: (-ord(r[2][0]), r[0])):
+            yield r[0]
+            yield from below([x for x in people if x[1] == r[0]])
+
+    got = hierarchy.connect_by(frame, "id", "boss", frame["boss"].isNull(), siblings=[F.col("name").desc()]).collect()
+    assert [r.id for r in got] == list(below(people[:1]))
+    got = hierarchy.connect_by(frame, "id", "boss", siblings=[F.col("name").desc()]).collect()
+    assert [r.id for r in got] == list(below(people))
+    assert plans and not any("row_number" in p for p in plans)
+
+
 def test_every_row_is_a_root_without_start(spark):
     assert hierarchy.connect_by(employees(spark), "employee_id", "manager_id").count() == 6 + 5 + 3 + 1
 
