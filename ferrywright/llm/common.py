@@ -141,22 +141,33 @@ def text_or_empty(column: Column | str) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 
 
-def pair_cells(rows: DataFrame, key: str, item: str, max_cell: int) -> DataFrame:
+def with_file_rows(scan: DataFrame, file: str, row: str) -> DataFrame:
+    """A plain scan of Parquet files with two long columns that tell each row from all others in every scan: its file and its number there.
+
+    The file is a hash of its path; that no two paths share one is checked, on paths alone.
+    """
+    paths = scan.select(F.col("_metadata.file_path").alias("p")).distinct().select(F.xxhash64("p").alias("h"))
+    seen = paths.agg(F.count("h").alias("n"), F.count_distinct("h").alias("d")).first()
+    if seen.n != seen.d:
+        raise ValueError("two files share a hash: stage the table and number its rows")
+    return scan.select("*", F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+
+
+def pair_cells(rows: DataFrame, key: str, item: str, max_shard: int) -> DataFrame:
     """Deal the rows of each key into cells, so that each pair of a key meets in some cell.
 
-    A key of up to ``max_cell`` rows is one cell. A larger one is cut by a hash of
-    ``item`` into shards of about ``max_cell`` rows; shard i has a cell in which
-    its own rows are members and the rows of later shards come as queries. Keys of
-    one row are left out. Columns added: ``cell`` (int), ``member`` (boolean).
-    No pair of rows is made here, and no key is gathered in one task.
+    A key of up to ``max_shard`` rows is one cell. A larger one is cut by a hash of
+    ``item`` into shards of about ``max_shard`` rows, and each two shards are a cell, so
+    that no cell has more than about twice as many. Keys of one row are left out.
+    Column added: ``cell`` (long). No pair of rows is made here, and no key is gathered in one task.
     """
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    small = counts.filter(F.col("_n") <= max_cell).select(key)
-    large = counts.filter(F.col("_n") > max_cell).withColumn("_shards", F.ceil(F.col("_n") / max_cell).cast("int"))
-    kept = rows.join(small.withColumn("_shards", F.lit(1)).unionByName(large.select(key, "_shards")), key)
-    shard = F.pmod(F.xxhash64(F.col(item), F.lit("cell")), F.col("_shards")).cast("int")
-    dealt = kept.withColumn("_own", shard).withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("_own"))))
-    return dealt.withColumn("member", F.col("cell") == F.col("_own")).drop("_own", "_shards")
+    shards = F.when(F.col("_n") <= max_shard, 1).otherwise(F.greatest(F.lit(2), F.ceil(F.col("_n") / max_shard))).cast("long")
+    kept = rows.join(counts.select(key, shards.alias("_shards")), key)
+    dealt = kept.withColumn("_own", F.pmod(F.xxhash64(F.col(item), F.lit("cell")), F.col("_shards")))
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("_shards") - 1), lambda s: (s != F.col("_own")) | (F.col("_shards") == 1))
+    cell = F.least("_own", "_other") * F.col("_shards") + F.greatest("_own", "_other")
+    return dealt.withColumn("_other", F.explode(others)).withColumn("cell", cell).drop("_own", "_other", "_shards")
 
 
 def filter_rows(docs: DataFrame, columns: Sequence[str], judge: Callable[[], Callable[[pa.RecordBatch], Sequence[bool]]]) -> DataFrame:

@@ -24,8 +24,8 @@ from . import common, graph
 SEED = 42
 SHINGLE_WORDS = 3
 RADIUS = 3
-#: Fingerprints in one tree at most; larger shards are cut, and all cuts meet.
-MAX_CELL = 4096
+#: Fingerprints of one cut of a shard; a tree holds two cuts at most, and all cuts meet.
+MAX_CELL = 2048
 #: Up to so many distinct fingerprints four blocks make the shard keys, then five, then six.
 BLOCK_STEPS = ((1 << 26, 4), (1 << 33, 5), (None, 6))
 _MASK = (1 << 64) - 1
@@ -127,8 +127,8 @@ def link_cells(cells: DataFrame, radius: int = RADIUS) -> DataFrame:
             return pa.RecordBatch.from_arrays([signed(0), signed(1)], ["a", "b"])
 
         for batch in batches:
-            t, v, cell, member, fps = (batch.column(i).to_pylist() for i in range(5))
-            for key, is_member, fp in zip(zip(t, v, cell, strict=True), member, fps, strict=True):
+            t, v, cell, fps = (batch.column(i).to_pylist() for i in range(4))
+            for key, fp in zip(zip(t, v, cell, strict=True), fps, strict=True):
                 fp &= _MASK
                 if key != open_key:
                     if sets.parent:
@@ -137,13 +137,12 @@ def link_cells(cells: DataFrame, radius: int = RADIUS) -> DataFrame:
                 for other in tree.within(fp, radius):
                     if other != fp:
                         sets.union(fp, other)
-                if is_member:
-                    tree.add(fp)
+                tree.add(fp)
         if sets.parent:
             yield close()
 
-    dealt = cells.repartition("key", "cell").sortWithinPartitions("key", "cell", F.col("member").desc(), "fp")
-    return dealt.select("key.t", "key.v", "cell", "member", "fp").mapInArrow(run, "a long, b long")
+    dealt = cells.repartition("key", "cell").sortWithinPartitions("key", "cell", "fp")
+    return dealt.select("key.t", "key.v", "cell", "fp").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:

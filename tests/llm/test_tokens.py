@@ -59,7 +59,6 @@ def library_rows(rows):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokens.default_tokenizer())
-    library.encode_special_tokens = True
     out, start = [], 0
     for doc, text in rows:
         ids = [*library.encode(text or "", add_special_tokens=False).ids, 0]
