@@ -41,6 +41,35 @@ def extract(unit: str, d: Column, as_text: bool = False) -> Column:
     return text if as_text else text.cast("long")
 
 
+def pipes(a: Column, b: Column, as_concat: bool = False) -> Column:
+    """``a || b``: OR, or with PIPES_AS_CONCAT the texts one after the other."""
+    return F.concat(a, b) if as_concat else a.cast("boolean") | b.cast("boolean")
+
+
+def uuid() -> Column:
+    return F.uuid()
+
+
+def log10(x: Column) -> Column:
+    return F.when(x > 0, F.log10(x))
+
+
+def log2(x: Column) -> Column:
+    return F.when(x > 0, F.log2(x))
+
+
+def pow(x: Column, y) -> Column:
+    return F.pow(x, _lit(y))
+
+
+def hex(x: Column) -> Column:
+    return F.hex(x)
+
+
+def unhex(x: Column) -> Column:
+    return F.unhex(x)
+
+
 def xor(a: Column, b: Column) -> Column:
     return a != b
 

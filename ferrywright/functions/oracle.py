@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrywright.functions import masks
@@ -185,8 +187,16 @@ def regexp_replace(s: Column, pattern: str, replacement: str = "", position: int
     return F.concat(F.substr(s, F.lit(1), F.lit(position - 1)), F.regexp_replace(F.substr(s, F.lit(position)), regexp_flags(flags) + pattern, java))
 
 
-def regexp_instr(s: Column, pattern: str) -> Column:
-    return F.regexp_instr(s, F.lit(pattern))
+def regexp_instr(s: Column, pattern: str, position: int = 1, nth: int = 1, end: bool = False, flags: str | None = None) -> Column:
+    """Where the nth match from a position begins, or what follows it with ``end``; 0 if there is none."""
+    regex = regexp_flags(flags) + pattern
+    rest = F.substr(s, F.lit(position))
+    found = F.regexp_extract_all(rest, F.lit(regex), F.lit(0))
+    # Gaps and matches take turns: the place is the length of all before it.
+    before = F.slice(F.split(rest, regex, -1), 1, nth)
+    length = lambda parts: F.aggregate(parts, F.lit(0), lambda n, x: n + F.length(x))
+    at = F.lit(position) + length(before) + length(F.slice(found, 1, nth if end else nth - 1))
+    return F.when(F.size(found) >= nth, at).when(s.isNotNull(), 0)
 
 
 def bitand(a: Column, b) -> Column:
@@ -252,6 +262,18 @@ def nextval(start: int = 1, increment: int = 1) -> Column:
     return F.monotonically_increasing_id() * increment + start
 
 
+def gapless(df: DataFrame, order: Sequence[Column], name: str = "id", last: int = 0, increment: int = 1) -> DataFrame:
+    """Numbers of a sequence without gaps: row numbers over ranges, going on from the last one used."""
+    from ferrywright.operators.relational import with_rownum
+
+    return with_rownum(df, order, name).withColumn(name, F.col(name) * increment + last)
+
+
+def interval(text: str, unit: str) -> Column:
+    """INTERVAL 'text' unit, as ``'3' DAY``, ``'1-6' YEAR TO MONTH`` or ``'2 10:30:00' DAY TO SECOND``."""
+    return F.expr(f"interval '{text}' {unit.lower()}".replace(";", ""))
+
+
 def nanvl(a: Column, b) -> Column:
     return F.nanvl(a, _lit(b))
 
@@ -310,6 +332,11 @@ def _escape(c: Column) -> Column:
     return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
 
+def from_xml(x: Column, schema: str) -> Column:
+    """An XML document as a struct of the given schema."""
+    return F.from_xml(x, schema)
+
+
 def xml_cdata(x: Column) -> Column:
     return F.concat(F.lit("<![CDATA["), x, F.lit("]]>"))
 

@@ -171,6 +171,14 @@ def quotename(s: Column) -> Column:
     return F.concat(F.lit("["), F.replace(s, F.lit("]"), F.lit("]]")), F.lit("]"))
 
 
+def soundex(s: Column) -> Column:
+    return F.soundex(s)
+
+
+def rand(seed: int | None = None) -> Column:
+    return F.rand(seed)
+
+
 def datefromparts(y: Column, m: Column, d: Column) -> Column:
     return F.make_date(y, m, d)
 

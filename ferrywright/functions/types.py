@@ -65,11 +65,12 @@ def map_types(catalog: DataFrame, dialect: str = "oracle", overrides: dict[str,
 
 
 def narrow_numeric(df: DataFrame, declared: dict[str, tuple[int, int]]) -> DataFrame:
-    """Cast declared NUMBER(p, s) columns, but only those whose largest value fits; one pass of aggregates decides."""
-    limits = df.agg(*[F.max(F.abs(F.col(c))).cast("double").alias(c) for c in declared]).first() if declared else None
+    """Cast declared NUMBER(p, s) columns, but only those whose largest value fits and that have no more decimals than declared; one pass of aggregates decides."""
+    rounded = [F.max(F.abs(F.col(c).cast("decimal(38,12)") - F.round(F.col(c).cast("decimal(38,12)"), s))).alias(f"_lost_{c}") for c, (_, s) in declared.items()]
+    limits = df.agg(*[F.max(F.abs(F.col(c))).cast("double").alias(c) for c in declared], *rounded).first() if declared else None
     casts = {}
     for c, (p, s) in declared.items():
         kind = "smallint" if s == 0 and p < 5 else "int" if s == 0 and p <= 9 else "bigint" if s == 0 and p < 19 else f"decimal({min(p, 38)},{s})"
-        if limits[c] is None or limits[c] < 10.0 ** (p - s):
+        if limits[c] is None or (limits[c] < 10.0 ** (p - s) and not limits[f"_lost_{c}"]):
             casts[c] = F.col(c).cast(kind)
     return df.withColumns(casts)

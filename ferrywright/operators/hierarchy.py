@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -82,16 +83,9 @@ def connect_by(
 
 
 def recursive_cte(spark, sql: str, max_levels: int = 100) -> DataFrame:
-    """A recursive common table expression as Spark has it, with a limit of levels."""
-    before = spark.conf.get("spark.sql.cteRecursionLevelLimit", None)
-    spark.conf.set("spark.sql.cteRecursionLevelLimit", str(max_levels))
-    try:
-        return spark.sql(sql)
-    finally:
-        if before is None:
-            spark.conf.unset("spark.sql.cteRecursionLevelLimit")
-        else:
-            spark.conf.set("spark.sql.cteRecursionLevelLimit", before)
+    """A recursive common table expression as Spark has it, with a limit of levels that is part of the statement (of its first expression)."""
+    limited = re.sub(r"(?is)\b(with\s+recursive\s+\w+\s*(?:\([^)]*\))?)\s*\bas\b", lambda m: f"{m[1]} MAX RECURSION LEVEL {int(max_levels)} AS", sql, count=1)
+    return spark.sql(limited)
 
 
 def dependency_levels(edges: DataFrame, node: str = "name", needs: str = "referenced_name", max_depth: int = 100) -> DataFrame:
@@ -104,10 +98,11 @@ def dependency_levels(edges: DataFrame, node: str = "name", needs: str = "refere
     current, depth = checkpoint(names.withColumn("level", F.lit(0))), 0
     while True:
         above = links.join(current.withColumnRenamed("name", "b"), "b").groupBy(F.col("a").alias("name")).agg((F.max("level") + 1).alias("next"))
-        following = checkpoint(current.join(above, "name", "left").select("name", F.coalesce("next", F.lit(0)).alias("level")))
-        if following.join(current.withColumnRenamed("level", "old"), "name").where("level <> old").isEmpty():
-            return following
-        current, depth = following, depth + 1
+        level = F.coalesce("next", F.lit(0))
+        following = checkpoint(current.join(above, "name", "left").select("name", level.alias("level"), (level != F.col("level")).alias("_changed")))
+        current, depth = following.drop("_changed"), depth + 1
+        if following.where("_changed").isEmpty():
+            return current
         if depth > max_depth:
             raise ValueError(f"dependencies are deeper than {max_depth} levels or hold a cycle")
 

@@ -37,7 +37,7 @@ def anti(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def changed_since(df: DataFrame, changes: DataFrame, key: str, since: Column) -> DataFrame:
     """Rows that a change list names since a date."""
-    return df.join(changes.where(since).select(key).distinct(), key, "left_semi")
+    return df.join(changes.where(since).select(key), key, "left_semi")
 
 
 # Aggregates
@@ -87,6 +87,21 @@ def count_rows(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def array_agg_distinct(value: str) -> Column:
+    """ARRAY_AGG(DISTINCT x): each value once, in order, without nulls."""
+    return F.array_sort(F.collect_set(value))
+
+
+def distinct(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
+    """SELECT DISTINCT, or UNIQUE, of some columns."""
+    return df.select(*columns).distinct() if columns else df.distinct()
+
+
+def column_counts(catalog: DataFrame, by: Sequence[str] = ("table_name",)) -> DataFrame:
+    """``(*by, n_columns)`` of a catalog of columns."""
+    return catalog.groupBy(*by).agg(F.count(F.lit(1)).alias("n_columns"))
+
+
 def sequence_restart(df: DataFrame, column: str, increment: int = 1) -> DataFrame:
     """The next value of a sequence that fills ``column``: 1 for an empty table."""
     return df.agg(F.coalesce(F.max(column) + increment, F.lit(1)).cast("long").alias("next_value"))
@@ -112,24 +127,25 @@ def with_rownum(df: DataFrame, order: Sequence[Column], name: str = "rownum") ->
 
 
 def assign_rownum(df: DataFrame, key: str, order: Sequence[Column], column: str) -> DataFrame:
-    """UPDATE with a row number by key."""
-    numbers = with_rownum(df.select(key, *[o.alias(f"_o{i}") for i, o in enumerate(order)]), [F.col(f"_o{i}") for i in range(len(order))], column).select(key, column)
-    return df.drop(column).join(numbers, key)
+    """UPDATE with a row number: rows are numbered in place, so that a repeated key keeps its rows and each gets a number. ``key`` breaks ties."""
+    names = [c for c in df.columns if c != column]
+    return with_rownum(df, [*order, F.col(key)], "_number").select(*names, F.col("_number").alias(column))
 
 
 # Limits
 
 
 def rownum_limit(df: DataFrame, operator: str, n: int, order: Sequence[Column] = ()) -> DataFrame:
-    """``ROWNUM <op> n``. For > and >= the meaning is that of a page, rows after the first ones."""
-    df = df.orderBy(*order) if order else df
+    """``ROWNUM <op> n``. For > and >= the meaning is that of a page, rows after the first ones, found by row numbers over ranges."""
+    first = df.orderBy(*order) if order else df
     if operator == "<=":
-        return df.limit(max(0, n))
+        return first.limit(max(0, n))
     if operator == "<":
-        return df.limit(max(0, n - 1))
+        return first.limit(max(0, n - 1))
     if operator == "=":
-        return df.offset(max(0, n - 1)).limit(1)
-    return df.offset(max(0, n if operator == ">" else n - 1))
+        return first.offset(max(0, n - 1)).limit(1)
+    skipped = max(0, n if operator == ">" else n - 1)
+    return with_rownum(df, order or [F.monotonically_increasing_id()], "_rownum").where(F.col("_rownum") > skipped).drop("_rownum")
 
 
 def page(df: DataFrame, low: int, high: int, order: Sequence[Column]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,9 +14,15 @@ def where_clauses(tables: Mapping[str, DataFrame], per_table: Mapping[str, str]
     """Filters by table, and one for all tables that have its columns; sources get them pushed down."""
     out = {}
     for name, df in tables.items():
-        for clause in ((per_table or {}).get(name), everywhere):
-            if clause:
-                df = df.where(clause)
+        if clause := (per_table or {}).get(name):
+            df = df.where(clause)
+        if everywhere:
+            try:
+                df = df.where(everywhere)
+            except AnalysisException as error:
+                # The table lacks a column; any other fault of the clause is the caller's.
+                if error.getCondition() != "UNRESOLVED_COLUMN.WITH_SUGGESTION":
+                    raise
         out[name] = df
     return out
 

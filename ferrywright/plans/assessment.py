@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ferrywright.scratch import checkpoint
+
 # Weight of one object of each type, and the most that a type may count.
 OBJECT_WEIGHTS = {
     "CLUSTER": 0, "FUNCTION": 1, "INDEX": 0.1, "FUNCTION-BASED-INDEX": 0.2, "REV-INDEX": 1, "CHECK": 0.1, "MATERIALIZED VIEW": 3, "PACKAGE BODY": 3, "PROCEDURE": 1, "SEQUENCE": 0.1, "TABLE": 0.1, "TABLE PARTITION": 0.1,
@@ -36,7 +39,7 @@ ORACLE_RULES = [
     ("TO_CHAR", 0.1, r"TO_CHAR\([^,)]+\)"), ("TO_NCHAR", 0.1, r"TO_NCHAR\([^,)]+\)"), ("ANYDATA", 2, r"\s+ANYDATA"), ("CONCAT", 0.1, r"\|\|"), ("TIMEZONE", 1, r"TIMEZONE_(REGION|ABBR)"), ("JSON", 3, r"IS\s+(NOT)?\s*JSON"), ("TO_CLOB", 0.1, r"TO_CLOB\([^,)]+\)"),
     ("ADD CONSTRAINT", 3, "ADD CONSTRAINT"), ("'SSSSS'", 2, r",\s*'SSSSS'\s*\)"), ("'J'", 2, r",\s*'J'\s*\)"), ("WHEN OTHER", 10, r"WHEN\s+OTHERS?\s+THEN"),
 ]
-# Methods of XML types, three each; families of application functions and their weights.
+# Methods of XML types, three each.
 XML_METHODS = "XMLTYPE CREATENONSCHEMABASEDXML CREATESCHEMABASEDXML CREATEXML EXISTSNODE GETNAMESPACE GETROOTELEMENT GETSCHEMAURL ISFRAGMENT ISSCHEMABASED ISSCHEMAVALID ISSCHEMAVALIDATED SCHEMAVALIDATE SETSCHEMAVALIDATED TOOBJECT TRANSFORM".split()
 ORACLE_RULES += [(m, 3, rf"\b{m}\(") for m in XML_METHODS]
 #: Functions without a translation: one each, if present at all.
@@ -64,29 +67,62 @@ DIALECTS = {
     "mysql": (MYSQL_RULES, [(f, 2, rf"\b{f}\b") for f in MYSQL_FUNCTIONS]),
     "tsql": (TSQL_RULES, [(f, 2, rf"\b{f}\s*\(") for f in TSQL_FUNCTIONS]),
 }
+# Where the reference's counting departs from what its rules mean: rules whose weight or pattern differs, and rules
+# that are counted once more.
+COMPAT_CHANGED = {("oracle", "MERGE INTO"): (0, None), ("oracle", "WHEN OTHER"): (10, r"WHEN\s+OTHER\s+THEN"), ("mysql", "JSON"): (0, None)}
+COMPAT_AGAIN = {"oracle": [("EXTRACT", 3, r"EXTRACT\("), ("HTP", 0.2, r"\bHT[PF]\.")]}
 # Words that need quotes as names.
 RESERVED = "ALL ANALYSE ANALYZE AND ANY ARRAY AS ASC BOTH CASE CAST CHECK COLLATE COLUMN CONSTRAINT CREATE DEFAULT DESC DISTINCT DO ELSE END EXCEPT FALSE FETCH FOR FOREIGN FROM GRANT GROUP HAVING IN INTO LEADING LIMIT NOT NULL OFFSET ON ONLY OR ORDER PRIMARY REFERENCES SELECT TABLE THEN TO TRAILING TRUE UNION UNIQUE USER USING WHEN WHERE WINDOW WITH".split()
 
 
-def score_details(code: DataFrame, dialect: str = "oracle", by: Sequence[str] = ("db", "object_type", "name")) -> DataFrame:
+def _literal(pattern: str) -> str | None:
+    """A word that any match of a rule's pattern holds, in upper case; None if the pattern does not begin with one.
+
+    It is read off the pattern: the letters behind leading marks that stand for no character, up to the first
+    mark, less the last letter where a mark makes it optional. A pattern of alternatives has none.
+    """
+    if "|" in re.sub(r"\\.", "", pattern):
+        return None
+    found = re.match(r"(?:\\b|\\s[+*]?|\(\?<!\[[^\]]*\]\))*((?:[A-Za-z_@#]|\\\|)+)(.?)", pattern)
+    if not found:
+        return None
+    word = found[1].replace("\\", "").upper()
+    if found[2] and found[2] in "?*{":
+        word = word[:-1]
+    return word if len(word) > 1 else None
+
+
+def score_details(code: DataFrame, dialect: str = "oracle", by: Sequence[str] = ("db", "object_type", "name"), compat: bool = False) -> DataFrame:
     """``(*by, keyword, n, cost)``: what each piece of code has of each difficulty, with TEST and SIZE.
 
-    One projection counts all patterns; only counts that are not zero become rows.
+    Texts are dealt anew, so that one large file does not keep one task busy, and each pattern is
+    tried only on texts that hold its first word. Only counts that are not zero become rows, and
+    a repeated name's are added up. ``compat`` counts as the reference does (fixed values below).
     """
     rules, functions = DIALECTS[dialect]
-    text = F.coalesce("code", F.lit(""))
-    counted = [F.struct(F.lit(k).alias("keyword"), F.regexp_count(text, F.lit(f"(?is){p}")).cast("double").alias("n"), F.lit(float(w)).alias("weight")) for k, w, p in rules]
-    present = [F.struct(F.lit(k).alias("keyword"), text.rlike(f"(?i){p}").cast("double").alias("n"), F.lit(float(w)).alias("weight")) for k, w, p in functions]
-    tested = (~F.upper("object_type").isin(*UNTESTED)).cast("double")
+    if compat:
+        changed = {k: COMPAT_CHANGED.get((dialect, k), (None, None)) for k, _, _ in rules}
+        rules = [(k, w if changed[k][0] is None else changed[k][0], changed[k][1] or p) for k, w, p in rules] + COMPAT_AGAIN.get(dialect, [])
+    dealt = code.select(*by, F.upper("object_type").alias("_type"), F.coalesce("code", F.lit("")).alias("_code")).repartition(int(code.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+    dealt = dealt.withColumn("_upper", F.upper("_code"))
+    text = F.col("_code")
+
+    def gated(pattern: str, count: Column) -> Column:
+        word = _literal(pattern)
+        return count if word is None else F.when(F.contains("_upper", F.lit(word)), count).otherwise(F.lit(0.0))
+
+    counted = [F.struct(F.lit(k).alias("keyword"), gated(p, F.regexp_count(text, F.lit(f"(?is){p}")).cast("double")).alias("n"), F.lit(float(w)).alias("weight")) for k, w, p in rules]
+    present = [F.struct(F.lit(k).alias("keyword"), gated(p, text.rlike(f"(?i){p}").cast("double")).alias("n"), F.lit(float(w)).alias("weight")) for k, w, p in functions]
+    tested = (~F.col("_type").isin(*UNTESTED)).cast("double")
     size = F.greatest(F.floor(F.length(text) / SIZE_UNIT[dialect]), F.lit(1)).cast("double") * tested
     fixed = [F.struct(F.lit("TEST").alias("keyword"), F.lit(1.0).alias("n"), (tested * TEST_COST).alias("weight")), F.struct(F.lit("SIZE").alias("keyword"), F.lit(1.0).alias("n"), size.alias("weight"))]
     found = F.filter(F.array(*fixed, *counted, *present), lambda x: (x["n"] != 0) & (x["weight"] != 0))
-    rows = code.select(*by, F.explode(found).alias("x")).select(*by, "x.keyword", F.when(F.col("x.weight") < 0, -F.col("x.n")).otherwise(F.col("x.n")).alias("n"), (F.col("x.n") * F.col("x.weight")).alias("cost"))
+    rows = dealt.select(*by, F.explode(found).alias("x")).select(*by, "x.keyword", F.when(F.col("x.weight") < 0, -F.col("x.n")).otherwise(F.col("x.n")).alias("n"), (F.col("x.n") * F.col("x.weight")).alias("cost"))
     return rows.groupBy(*by, "keyword").agg(F.sum("n").cast("long").alias("n"), F.round(F.sum("cost"), 6).alias("cost"))
 
 
 def score(code: DataFrame, dialect: str = "oracle", by: Sequence[str] = ("db", "object_type", "name")) -> DataFrame:
-    """``(*by, cost)`` of each piece of code."""
+    """``(*by, cost)`` of each piece of code; see :func:`score_details`."""
     return score_details(code, dialect, by).groupBy(*by).agg(F.round(F.sum("cost"), 6).alias("cost"))
 
 
@@ -114,10 +150,14 @@ def migration_level(days: Column, code_cost: Column, has_code: Column, complex_c
     return F.concat(letter, F.lit("-"), number.cast("string"))
 
 
-def assessment_report(catalog: DataFrame, code: DataFrame, dialect: str = "oracle", by: Sequence[str] = (), unit_minutes: float = UNIT_MINUTES) -> DataFrame:
-    """``(*by, object_type, n_objects, n_invalid, cost, days)`` with a total (object_type null) per group."""
+def assessment_report(catalog: DataFrame, code: DataFrame | None, dialect: str = "oracle", by: Sequence[str] = (), unit_minutes: float = UNIT_MINUTES, details: DataFrame | None = None) -> DataFrame:
+    """``(*by, object_type, n_objects, n_invalid, cost, days)`` with a total (object_type null) per group.
+
+    ``details``, of :func:`score_details`, spares another pass over the code.
+    """
     counts = object_cost(object_counts(catalog, by))
-    costs = score(code, dialect, [*by, "object_type", "name"]).groupBy(*by, "object_type").agg(F.sum("cost").alias("code_cost"))
+    details = score_details(code, dialect, [*by, "object_type", "name"]) if details is None else details
+    costs = details.groupBy(*by, "object_type").agg(F.round(F.sum("cost"), 6).alias("code_cost"))
     both = counts.join(costs, [*by, "object_type"], "full_outer").fillna(0)
     total = F.round(F.sum(F.col("object_cost") + F.col("code_cost")), 6)
     rows = both.rollup(*by, "object_type").agg(F.sum("n_objects").alias("n_objects"), F.sum("n_invalid").alias("n_invalid"), total.alias("cost"), F.grouping_id().alias("_g"))
@@ -126,8 +166,11 @@ def assessment_report(catalog: DataFrame, code: DataFrame, dialect: str = "oracl
 
 def assess_many(catalog: DataFrame, code: DataFrame, dialect: str = "oracle", limit: float = HUMAN_DAYS_LIMIT) -> DataFrame:
     """One row per database: objects, cost, days and level."""
-    report = assessment_report(catalog, code, dialect, ("db",)).where("object_type is null and db is not null").drop("object_type")
-    hard = score_details(code, dialect, ("db", "object_type", "name")).where("keyword not in ('TEST', 'SIZE')").groupBy("db").agg(F.sum("cost").alias("difficulty"))
+    # Sums by type and keyword serve both, and are few.
+    details = score_details(code, dialect, ("db", "object_type", "name")).groupBy("db", "object_type", "keyword").agg(F.sum("cost").alias("cost"))
+    details = checkpoint(details)
+    report = assessment_report(catalog, None, dialect, ("db",), details=details).where("object_type is null and db is not null").drop("object_type")
+    hard = details.where("keyword not in ('TEST', 'SIZE')").groupBy("db").agg(F.sum("cost").alias("difficulty"))
     kinds = catalog.groupBy("db").agg(F.max(F.upper("object_type").isin("FUNCTION", "PROCEDURE", "PACKAGE BODY", "TRIGGER")).alias("has_code"))
     both = report.join(kinds, "db", "left").join(hard, "db", "left").fillna(0.0, ["difficulty"])
     return both.withColumn("level", migration_level(F.col("days"), F.col("difficulty"), F.coalesce("has_code", F.lit(False)), F.col("difficulty") > 20, limit))
@@ -136,7 +179,7 @@ def assess_many(catalog: DataFrame, code: DataFrame, dialect: str = "oracle", li
 def normalise_sql(text: Column) -> Column:
     """A statement without comments, literals as ?, white space as one space, upper case."""
     plain = F.regexp_replace(text, r"(?s)/\*.*?\*/|--[^\n]*", " ")
-    plain = F.regexp_replace(plain, r"'(?:[^']|'')*'", "?")
+    plain = F.regexp_replace(plain, r"'(?:[^']++|'')*+'", "?")
     plain = F.regexp_replace(plain, r"\b\d+(?:\.\d+)?\b", "?")
     return F.upper(F.trim(F.regexp_replace(plain, r"\s+", " ")))
 

@@ -156,8 +156,8 @@ def g4_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.withColumns({c: F.round(c, 6) for c in ("length", "cx", "cy")})
 
 
-def _triangles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x, y, s = (F.col("p_partkey") % 100).cast("double"), (F.col("p_partkey") % 37).cast("double"), (F.col("p_size") + 1).cast("double")
+def _triangles(spark: SparkSession, sf_dir: str, scale: float = 1.0) -> DataFrame:
+    x, y, s = (F.col("p_partkey") % 100).cast("double"), (F.col("p_partkey") % 37).cast("double"), (F.col("p_size") + 1).cast("double") / scale
     geom = F.struct(F.lit(2003).alias("gtype"), F.lit(None).cast("int").alias("srid"), F.lit(None).cast("struct<x:double,y:double,z:double>").alias("point"), F.array(F.lit(1), F.lit(1003), F.lit(1)).alias("elem_info"), F.array(x, y, x + s, y, x, y + s, x, y).alias("ordinates"))
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), geom.alias("geom"))
 
@@ -175,8 +175,7 @@ def g7_box_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def g8_points_in_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), ((F.col("c_custkey") * 37) % 1000 / 10.0 + 0.05).alias("x"), ((F.col("c_custkey") * 91) % 400 / 10.0 + 0.05).alias("y"))
-    shapes = _triangles(spark, sf_dir).where("id % 20 = 0")
-    return geometry.points_in_polygons(points, geometry.vertices(shapes), 10.0)
+    return geometry.points_in_polygons(points, geometry.vertices(_triangles(spark, sf_dir, 25.0)), 2.0)
 
 
 def g9_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,10 +188,9 @@ def t1_text_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def t3_trigram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations and market segments by shared trigrams."""
-    a = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("text"))
-    b = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("text"))
-    return textsearch.trigram_join(a, b, 0.05).select("a_id", "b_id", F.round("similarity", 6).alias("similarity"))
+    """Pages of like addresses, each page with itself and others."""
+    a = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.col("url").alias("text"))
+    return textsearch.trigram_join(a, a, 0.8).select("a_id", "b_id", F.round("similarity", 6).alias("similarity"))
 
 
 _KIND = "CASE o_orderstatus WHEN 'F' THEN 'FUNCTION' WHEN 'O' THEN 'VIEW' ELSE 'TRIGGER' END"
@@ -302,7 +300,7 @@ QUERIES = {
     ),
     "g8_points_in_polygons": (
         g8_points_in_polygons,
-        """WITH p AS (SELECT c_custkey AS id, (c_custkey * 37) % 1000 / 10.0::DOUBLE + 0.05 AS x, (c_custkey * 91) % 400 / 10.0::DOUBLE + 0.05 AS y FROM customer), t AS (SELECT p_partkey AS id, p_partkey % 100 AS x, p_partkey % 37 AS y, p_size + 1 AS s FROM part WHERE p_partkey % 20 = 0)
+        """WITH p AS (SELECT c_custkey AS id, (c_custkey * 37) % 1000 / 10.0::DOUBLE + 0.05 AS x, (c_custkey * 91) % 400 / 10.0::DOUBLE + 0.05 AS y FROM customer), t AS (SELECT p_partkey AS id, p_partkey % 100 AS x, p_partkey % 37 AS y, (p_size + 1) / 25.0::DOUBLE AS s FROM part)
         SELECT p.id AS point_id, t.id AS polygon_id FROM p, t WHERE p.x > t.x AND p.y > t.y AND (p.x - t.x) + (p.y - t.y) < t.s""",
     ),
     "g9_shapes": (
@@ -315,8 +313,8 @@ QUERIES = {
     ),
     "t3_trigram_join": (
         t3_trigram_join,
-        """WITH s AS (SELECT 'a' AS k, n_nationkey AS id, '  ' || lower(n_name) || ' ' AS t FROM nation UNION ALL SELECT 'b', r_regionkey, '  ' || lower(r_name) || ' ' FROM region), g AS (SELECT DISTINCT k, id, substr(t, i, 3) AS g FROM s, range(1, 60) r(i) WHERE i <= length(t) - 2),
+        """WITH s AS (SELECT k, page_id AS id, '  ' || lower(url) || ' ' AS t FROM pages, (VALUES ('a'), ('b')) v(k)), g AS (SELECT DISTINCT k, id, substr(t, i, 3) AS g FROM s, range(1, 400) r(i) WHERE i <= length(t) - 2),
         n AS (SELECT k, id, count(*) AS n FROM g GROUP BY 1, 2), j AS (SELECT a.id AS a_id, b.id AS b_id, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.k = 'a' AND b.k = 'b' GROUP BY 1, 2)
-        SELECT a_id, b_id, round(c / (x.n + y.n - c)::DOUBLE, 6) AS similarity FROM j JOIN n x ON x.k = 'a' AND x.id = a_id JOIN n y ON y.k = 'b' AND y.id = b_id WHERE c / (x.n + y.n - c)::DOUBLE >= 0.05""",
+        SELECT a_id, b_id, round(c / (x.n + y.n - c)::DOUBLE, 6) AS similarity FROM j JOIN n x ON x.k = 'a' AND x.id = a_id JOIN n y ON y.k = 'b' AND y.id = b_id WHERE c / (x.n + y.n - c)::DOUBLE >= 0.8""",
     ),
 }

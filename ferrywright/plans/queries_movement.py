@@ -102,7 +102,7 @@ def p22_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p20_unaccent(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select(F.explode(F.split(cleaning.unaccent(F.col("text")), r"[^a-z0-9]+")).alias("word")).where("word <> ''")
-    return d.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 3")
+    return d.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def f1_where_clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,7 +198,7 @@ QUERIES = {
     ),
     "p20_unaccent": (
         p20_unaccent,
-        f"SELECT w AS word, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(lower(translate(text, '{cleaning.ACCENTED}', '{cleaning.PLAIN}')), '[^a-z0-9]+')) AS w FROM documents) WHERE w <> '' GROUP BY 1 HAVING count(*) > 3",
+        f"SELECT w AS word, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(lower(translate(text, '{cleaning.ACCENTED}', '{cleaning.PLAIN}')), '[^a-z0-9]+')) AS w FROM documents) WHERE w <> '' GROUP BY 1",
     ),
     "f1_where_clauses": (
         f1_where_clauses,

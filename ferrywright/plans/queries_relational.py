@@ -29,7 +29,9 @@ def j5_comma_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def j6_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return relational.anti(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+    """Customers without an order of more than 150000, null keys on the other side."""
+    big = table(spark, sf_dir, "orders").where("o_totalprice > 150000").select(F.nullif("o_custkey", F.lit(7)).alias("c_custkey"))
+    return relational.anti(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), big, ["c_custkey"])
 
 
 def a1_listagg(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +93,7 @@ def l5_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def u1_minus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a, b = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"))
+    a, b = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k")), table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"))
     return relational.minus(a, b)
 
 
@@ -191,7 +193,7 @@ QUERIES = {
     "j1_outer_plus": (j1_outer_plus, "SELECT c_custkey, count(o_orderkey) AS n_orders FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_totalprice > 100000 WHERE c_acctbal > 0 GROUP BY 1"),
     "j4_outer_chain": (j4_outer_chain, "SELECT s_suppkey, n_name, r_name FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey AND n_nationkey % 3 <> 0 LEFT JOIN region ON n_regionkey = r_regionkey"),
     "j5_comma_join": (j5_comma_join, "SELECT n_name, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total FROM orders, customer, nation WHERE o_custkey = c_custkey AND c_nationkey = n_nationkey GROUP BY 1"),
-    "j6_anti": (j6_anti, "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)"),
+    "j6_anti": (j6_anti, "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 150000 AND o_custkey <> 7)"),
     "a1_listagg": (a1_listagg, "SELECT n_regionkey, string_agg(n_name, '; ' ORDER BY n_name) AS names, string_agg(n_name, ',' ORDER BY n_nationkey DESC) AS by_key FROM nation GROUP BY 1"),
     "a1_listagg_orders": (a1_listagg_orders, "SELECT o_custkey, string_agg(o_orderstatus, '' ORDER BY o_orderkey) AS history, string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus) AS kinds FROM orders GROUP BY 1"),
     "a4_keep_dense_rank": (
@@ -214,7 +216,7 @@ QUERIES = {
         UNION ALL SELECT '>', count(*), min(k) FROM c WHERE r > 10 UNION ALL SELECT '>=', count(*), min(k) FROM c WHERE r >= 10""",
     ),
     "l5_top_n": (l5_top_n, "SELECT o_custkey::VARCHAR AS name, count(*) AS n_orders FROM orders GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"),
-    "u1_minus": (u1_minus, "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders"),
+    "u1_minus": (u1_minus, "SELECT p_partkey AS k FROM part EXCEPT SELECT s_suppkey FROM supplier"),
     "u2_union_intersect": (
         u2_union_intersect,
         """WITH a AS (SELECT c_nationkey AS k FROM customer), b AS (SELECT s_nationkey AS k FROM supplier) SELECT k, count(*) AS n, 'union' AS op FROM (SELECT * FROM a UNION SELECT * FROM b) GROUP BY 1

@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrywright.plans import queries_checks, queries_movement, queries_relational
+from ferrywright.plans import queries_checks, queries_more, queries_movement, queries_relational
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _modules() -> list:
-    return [queries_movement, queries_relational, queries_checks]
+    return [queries_movement, queries_relational, queries_checks, queries_more]
 
 
 def queries() -> dict[str, Query]:

@@ -331,3 +331,51 @@ def test_incremental(spark):
     df = spark.createDataFrame([(1,), (5,), (9,)], "n int")
     marks = cdc.register_marks({"t": (df.where("n < 6"), "n")})
     assert [r.n for r in cdc.incremental(df, marks, "t", "n").collect()] == [9] and cdc.incremental(df, marks, "other", "n").count() == 3
+
+
+def test_audited_statements_may_hold_long_literals(spark):
+    from ferrywright.plans import assessment
+
+    text = "select 'it''s " + "x" * 1_000_000 + "' from t where a = 12 -- end"
+    got = spark.createDataFrame([(text,)], "s string").select(assessment.normalise_sql(F.col("s"))).first()[0]
+    assert got == "SELECT ? FROM T WHERE A = ?"
+
+
+def test_gates_of_rules_never_hide_a_match(spark):
+    from ferrywright.plans import assessment
+
+    assert assessment._literal(r"\bCONNECT\s+BY\b") == "CONNECT" and assessment._literal(r"\|\|") == "||" and assessment._literal(r"_(un)?lock\(") is None
+    assert assessment._literal(r"\s+(UNPIVOT|PIVOT)\s*") is None and assessment._literal(r"ab?c") is None and assessment._literal(r"(?<!INSERT)\s+INTO") is None
+
+
+def test_recursion_deeper_than_the_default(spark):
+    from ferrywright.operators import hierarchy
+
+    sql = "WITH RECURSIVE t(n) AS (SELECT 1 UNION ALL SELECT n + 1 FROM t WHERE n < 150) SELECT max(n) AS n FROM t"
+    assert hierarchy.recursive_cte(spark, sql, 200).first().n == 150
+    with pytest.raises(Exception):
+        hierarchy.recursive_cte(spark, sql, 20).collect()
+
+
+def test_renumbering_keeps_repeated_keys(spark):
+    from ferrywright.operators import relational
+
+    df = spark.createDataFrame([(1, 5, 0), (1, 4, 0), (2, 9, 0), (None, 1, 0)], "k long, v long, n long")
+    got = relational.assign_rownum(df, "k", [F.col("v")], "n").orderBy("n").collect()
+    assert [(r.k, r.v, r.n) for r in got] == [(None, 1, 1), (1, 4, 2), (1, 5, 3), (2, 9, 4)]
+    assert [r.v for r in relational.rownum_limit(df, ">", 2, [F.col("v")]).orderBy("v").collect()] == [5, 9]
+
+
+def test_numbers_with_more_decimals_stay(spark):
+    from ferrywright.functions import types
+
+    df = spark.createDataFrame([(1.0, 1.25)], "a double, b double")
+    assert dict(types.narrow_numeric(df, {"a": (3, 0), "b": (3, 1)}).dtypes) == {"a": "smallint", "b": "double"}
+
+
+def test_regexp_instr_finds_the_nth_match(spark):
+    from ferrywright.functions import oracle
+
+    df = spark.createDataFrame([("abcabcabc",), ("xyz",), (None,)], "s string")
+    got = df.select(oracle.regexp_instr(F.col("s"), "b", 3, 2).alias("a"), oracle.regexp_instr(F.col("s"), "bc", end=True).alias("b"), oracle.regexp_instr(F.col("s"), "B", flags="i").alias("c")).collect()
+    assert [tuple(r) for r in got] == [(8, 4, 2), (0, 0, 0), (None, None, None)]
