@@ -30,11 +30,14 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder for scratch tables of this application.
 
     The session's ``spark.checkpoint.dir`` is used as it is. Only where it is
-    unset, as in local tests, a temporary folder of this session takes its place.
+    unset a temporary folder takes its place in local sessions, as in tests; on a
+    cluster, whose machines do not share such a folder, that is an error.
     """
     app = spark.sparkContext.applicationId
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if app not in _own_roots:
             _own_roots[app] = tempfile.mkdtemp(prefix="spark-ferrywright-")
         base = f"file://{_own_roots[app]}"

@@ -54,3 +54,23 @@ def test_files_are_plain_warc(spark):
         kinds.append((fields[b"WARC-Type"], fields[b"WARC-Target-URI"], n))
         data = rest[n + 4 :]
     assert [k[0] for k in kinds] == [b"response", b"revisit"] and kinds[0][2] - kinds[1][2] == 150
+
+
+@pytest.mark.parametrize("shape", ["repartition", "join", "union", "numbered"])
+def test_derived_frames_keep_their_payloads(spark, data, shape):
+    con = duckdb.connect()
+    con.execute(f"create view p as select * from '{data}/pages.parquet'")
+    con.execute("create view pages as select * from p union all select page_id + 1000000, url, html from p")
+    scan = common.table(spark, data, "pages")
+    both = scan.unionByName(scan.withColumn("page_id", scan.page_id + 1000000))
+    if shape == "repartition":
+        pages = both.repartition(16)
+    elif shape == "join":
+        pages = both.join(spark.range(2).selectExpr("id * 0 as x").distinct(), both.page_id >= 0)
+    elif shape == "union":
+        pages = both
+    else:
+        pages = both.withColumns({"f": both.page_id % 3, "r": both.page_id}).repartition(7)
+    got = warc.archive_pages(pages, place=("f", "r") if shape == "numbered" else None)
+    got = got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(con.execute(warc.ORACLE_SQL).fetchall(), key=str)
