@@ -27,11 +27,10 @@ MAX_STRINGS = 32
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` is for Java's engine; ``group`` must have ``least`` characters; ``sought`` is a plainer form, from which trigrams are derived."""
+    """``pattern`` is a regex that Java's engine and Python's parser both read; ``group`` must have ``least`` characters."""
 
     kind: str
     pattern: str
-    sought: str
     group: int = 0
     least: int = 1
     base: bool = False
@@ -39,19 +38,22 @@ class Rule:
 
 #: The base rules, then well-known token formats, which add spans.
 RULES = (
-    Rule("assign", r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]++)", r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]+", 1, 6, True),
-    Rule("access", r"AKIA[A-Z0-9]++", r"akia[a-z0-9]+", 0, 20, True),
-    Rule("hex", r"(?<![0-9a-f])[0-9a-f]{24,}+", r"[0-9a-f]{24,}", 0, 24, True),
-    Rule("github", r"(?<![A-Za-z0-9])(?:gh[pousr]_[A-Za-z0-9]{36,255}+|github_pat_[A-Za-z0-9_]{22,255}+)", r"(ghp_|gho_|ghu_|ghs_|ghr_|github_pat_)[a-z0-9]+"),
-    Rule("slack", r"(?<![A-Za-z0-9])xox[abeoprs]-[A-Za-z0-9-]{10,250}+", r"xox[abeoprs]-[a-z0-9-]+"),
-    Rule("google", r"(?<![A-Za-z0-9])AIza[A-Za-z0-9_-]{35}(?![A-Za-z0-9_-])", r"aiza[a-z0-9_-]+"),
-    Rule("stripe", r"(?<![A-Za-z0-9])[rs]k_live_[A-Za-z0-9]{20,250}+", r"[rs]k_live_[a-z0-9]+"),
-    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}+\.eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+", r"eyj[a-z0-9_-]+\.eyj[a-z0-9_-]+"),
-    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", r"-----begin [a-z ]*private key-----"),
+    Rule("assign", r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]++)", 1, 6, True),
+    Rule("access", r"AKIA[A-Z0-9]++", 0, 20, True),
+    Rule("hex", r"(?<![0-9a-f])[0-9a-f]{24,}+", 0, 24, True),
+    Rule("github", r"(?<![A-Za-z0-9])(?:gh[pousr]_[A-Za-z0-9]{36,255}+|github_pat_[A-Za-z0-9_]{22,255}+)"),
+    Rule("slack", r"(?<![A-Za-z0-9])xox[abeoprs]-[A-Za-z0-9-]{10,250}+"),
+    Rule("google", r"(?<![A-Za-z0-9])AIza[A-Za-z0-9_-]{35}(?![A-Za-z0-9_-])"),
+    Rule("stripe", r"(?<![A-Za-z0-9])[rs]k_live_[A-Za-z0-9]{20,250}+"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}+\.eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+"),
+    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
 )
 KINDS = [r.kind for r in RULES]
 
 
+_REPEATS = (sre.MAX_REPEAT, sre.MIN_REPEAT, sre.POSSESSIVE_REPEAT)
+
+
 def _strings(node) -> tuple[set[str] | None, frozenset]:
     """Of a parsed regex: the strings it can match, None for too many, and the Boolean query that all matches meet.
 
@@ -73,9 +75,14 @@ def _strings(node) -> tuple[set[str] | None, frozenset]:
     node = list(node)
     for at, (op, value) in enumerate(node):
         if op is sre.LITERAL:
-            part, inner = {chr(value)}, anything
+            part, inner = {chr(value).lower()}, anything
         elif op is sre.IN and all(o is sre.LITERAL for o, _ in value) and len(value) <= MAX_STRINGS:
-            part, inner = {chr(v) for _, v in value}, anything
+            part, inner = {chr(v).lower() for _, v in value}, anything
+        elif op in (sre.ASSERT, sre.ASSERT_NOT, sre.AT):
+            # What stands around a match is not part of it.
+            part, inner = {""}, anything
+        elif op is sre.ATOMIC_GROUP:
+            part, inner = _strings(value)
         elif op is sre.SUBPATTERN:
             part, inner = _strings(value[3])
         elif op is sre.BRANCH:
@@ -85,10 +92,10 @@ def _strings(node) -> tuple[set[str] | None, frozenset]:
             inner = anything if frozenset() in inner else inner
             if part is not None:
                 inner = anything
-        elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT) and value[:2] == (0, 1):
+        elif op in _REPEATS and value[:2] == (0, 1):
             part, inner = _strings(value[2])
             part, inner = (part | {""} if part is not None else None), anything
-        elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT) and value[0] >= 1:
+        elif op in _REPEATS and value[0] >= 1:
             held, inner = _strings(value[2])
             part, inner = None, of_strings(held) if held is not None else inner
         else:
@@ -111,8 +118,8 @@ def _strings(node) -> tuple[set[str] | None, frozenset]:
 
 
 def trigram_query(pattern: str) -> list[list[str]]:
-    """Alternatives of trigrams, in lower case, one of which every match holds in full; [] if the regex has no mandatory trigram."""
-    exact, query = _strings(list(sre_parser.parse(pattern.lower())))
+    """Alternatives of trigrams, in lower case, one of which every match of the very regex that verifies holds in full; [] if it has no mandatory trigram."""
+    exact, query = _strings(list(sre_parser.parse(pattern)))
     if exact is not None:
         query = frozenset(frozenset(s[i : i + 3] for i in range(len(s) - 2)) for s in exact)
     return [] if frozenset() in query else sorted(sorted(a) for a in query)
@@ -133,7 +140,7 @@ def build_index(docs: DataFrame, grams: list[str], shard_docs: int = SHARD_DOCS)
 
 def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """``(key, rules)``: keys whose postings meet a rule's query, and which rules, by number. Rules without a query are not in it."""
-    wanted = [(r, a, gram, len(grams)) for r, rule in enumerate(rules) for a, grams in enumerate(trigram_query(rule.sought)) for gram in grams]
+    wanted = [(r, a, gram, len(grams)) for r, rule in enumerate(rules) for a, grams in enumerate(trigram_query(rule.pattern)) for gram in grams]
     spark = index.sparkSession
     # As many rows as the rule set has trigrams.
     query = F.broadcast(spark.createDataFrame(wanted, "rule int, alternative int, gram string, need int"))
@@ -152,11 +159,11 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """
     slim = common.pick(docs, doc_id="doc_id", text="text").select(F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty("text").alias("text"))
     keyed = slim.withColumn("key", F.xxhash64("doc_id", "text"))
-    grams = sorted({g for rule in rules for alternative in trigram_query(rule.sought) for g in alternative})
+    grams = sorted({g for rule in rules for alternative in trigram_query(rule.pattern) for g in alternative})
     index = common.stage(build_index(keyed, grams), "trigram-index")
     found = common.stage(candidates(index, rules), "secret-candidates")
     told = keyed.join(found, "key", "left").withColumn("rules", F.coalesce("rules", F.array().cast("array<int>")))
-    gates = {rule.kind: F.lit(True) if not trigram_query(rule.sought) else F.array_contains("rules", r) for r, rule in enumerate(rules)}
+    gates = {rule.kind: F.lit(True) if not trigram_query(rule.pattern) else F.array_contains("rules", r) for r, rule in enumerate(rules)}
     told = spans.add_matches(told, "text", {rule.kind: (rule.pattern, gates[rule.kind]) for rule in rules})
     told = told.withColumns({f"v_{r.kind}": F.when(F.size(f"m_{r.kind}") > 0, F.regexp_extract_all("text", F.lit(r.pattern), F.lit(r.group))).otherwise(F.col(f"m_{r.kind}")) for r in rules if r.group})
 
