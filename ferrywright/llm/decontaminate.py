@@ -132,27 +132,36 @@ class SeedIndex:
 
 
 def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int, int]:
-    """Smith-Waterman: best local score, matched words, and the aligned stretch of the window."""
-    steps = GAP * np.arange(len(window) + 1, dtype=np.int64)
-    table = np.zeros((len(item) + 1, len(window) + 1), dtype=np.int64)
-    for i, word in enumerate(item, 1):
-        row = table[i]
-        row[1:] = np.maximum(table[i - 1, :-1] + np.where(window == word, MATCH, MISMATCH), table[i - 1, 1:] + GAP)
-        np.maximum(row, 0, out=row)
+    """Smith-Waterman: best local score, matched words, and the aligned stretch of the window.
+
+    One row of the table is held at a time; each cell carries where its alignment begins
+    and how many words match, so that memory goes with the window alone. Of equal
+    scores the first item word and the first window word to reach it count.
+    """
+    n = len(window)
+    at = np.arange(n + 1, dtype=np.int64)
+    score, begin, matched = np.zeros(n + 1, dtype=np.int64), at.copy(), np.zeros(n + 1, dtype=np.int64)
+    best = (0, 0, 0, 0)
+    for word in item:
+        same = window == word
+        # From the cell before in both: an alignment that has no score yet begins here.
+        diagonal = score[:-1] + np.where(same, MATCH, MISMATCH)
+        up = score[1:] + GAP
+        take = diagonal >= up
+        row = np.concatenate([[0], np.maximum(np.maximum(diagonal, up), 0)])
+        own = score[:-1] > 0
+        row_begin = np.concatenate([[0], np.where(take, np.where(own, begin[:-1], at[:-1]), begin[1:])])
+        row_matched = np.concatenate([[0], np.where(take, np.where(own, matched[:-1], 0) + same, matched[1:])])
         # A run of gaps in the item: the best of all cells to the left, less a gap a step.
-        np.maximum(np.maximum.accumulate(row - steps) + steps, 0, out=row)
-    i, j = np.unravel_index(int(table.argmax()), table.shape)
-    score, end, matched = int(table[i, j]), int(j), 0
-    while i and j and table[i, j] > 0:
-        same = window[j - 1] == item[i - 1]
-        if table[i, j] == table[i - 1, j - 1] + (MATCH if same else MISMATCH):
-            matched += bool(same)
-            i, j = i - 1, j - 1
-        elif table[i, j] == table[i - 1, j] + GAP:
-            i -= 1
-        else:
-            j -= 1
-    return score, matched, int(j), end
+        reach = row - GAP * at
+        most = np.maximum.accumulate(reach)
+        source = np.maximum.accumulate(np.where(reach == most, at, 0))
+        score = np.maximum(most + GAP * at, 0)
+        begin, matched = row_begin[source], row_matched[source]
+        j = int(score.argmax())
+        if score[j] > best[0]:
+            best = (int(score[j]), int(matched[j]), int(begin[j]), j)
+    return best
 
 
 def item_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[list[tuple[int | None, list[bytes]]]]:
@@ -231,7 +240,12 @@ def _pair_rows(shared, min_score: float) -> Callable:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs`` that hold no item, all columns as they are; nothing is shuffled."""
+    """The rows of ``docs`` that hold no item, all columns as they are; nothing is shuffled.
+
+    A null or empty text holds nothing and stays, as does a row with null ids; repeated rows are judged each and stay
+    or go together; very long texts are aligned in memory that goes with the text; without items all rows stay; an
+    empty table gives no row; columns of any name, clashing ones too, are carried.
+    """
     context = docs.sparkSession.sparkContext
     out = docs
     for index in indexes(docs, benchmark):

@@ -1,6 +1,7 @@
 """Alignment against a plain Smith-Waterman, and seeds against the alignment of all pairs."""
 
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -91,3 +92,14 @@ def test_common_words_with_an_unseen_or_rare_one(spark):
     bench = spark.createDataFrame([(1, " ".join(unseen)), (2, " ".join(rare))], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in dc.contaminated_pairs(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
     assert {(100, 1), (101, 2)} <= got
+
+
+def test_long_items_and_texts_need_little_memory():
+    rng = np.random.default_rng(4)
+    item, text = rng.integers(0, 500, 1500), rng.integers(0, 500, 30_000)
+    text[12_000:13_500] = item
+    tracemalloc.start()
+    score, matched, start, end = dc.align(item, text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (score, matched, start, end) == (3000, 1500, 12_000, 13_500) and peak < 20_000_000
