@@ -509,7 +509,9 @@ def media_digests(streams: DataFrame) -> DataFrame:
 def op4_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of ``documents`` stored as a FLAC stream, read back and digested.
 
-    A null text is an empty one; an empty one is 64 zero bytes; null ids and repeated rows are carried.
+    A null text is an empty one; an empty one is 64 zero bytes; null ids and repeated rows are carried, an empty table
+    gives no row, extra columns are ignored. A very long text is one stream of many frames, worked on some thousand
+    frames at a time. A frame whose checksums do not hold is an error: the stored form is not what was written.
     """
     streams = common.stage(encode_media(common.table(spark, sf_dir, "documents")), "flac", level=9)
     return media_digests(streams)

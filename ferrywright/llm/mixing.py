@@ -97,7 +97,10 @@ def mix_sizes(docs: DataFrame) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, all columns as they are."""
+    """The rows of ``docs`` as often as the mix takes them, all columns as they are.
+
+    Nulls, empty texts and repeated rows count as in :func:`mix_sizes`; ties are broken by the row's number in the staged table.
+    """
     whole = common.Hidden(docs)
     rows = common.stage(whole.frame.withColumn("_row", F.monotonically_increasing_id()), "rows")
     sizes = rows.select("_row", whole.ref("doc_id").cast("long").alias("doc_id"), whole.ref("source").cast("string").alias("source"), n_words(whole.ref("text")).alias("size"), F.col("_row").alias("tie"))

@@ -33,10 +33,12 @@ WIDE_IP = r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa
 WIDE_CARD = r"(?<![0-9])(?<![0-9][\x20.-])[0-9]{3,4}(?:[\x20.-][0-9]{4,6}){2,4}+(?![\x20.-]?[0-9])"
 WIDE_PHONE = r"(?<![0-9+])(?<![0-9][\x20().-])(?:00[0-9]{1,3}[\x20.-])?(?:\([0-9]{2,5}\)\x20?|[0-9]{2,5}[\x20.-])[0-9]{3,4}[\x20.-][0-9]{3,5}(?![\x20.-]?[0-9])"
 
-#: Gazetteers: common top-level domains, issuer prefixes of cards, words that announce each kind.
-DOMAINS = r"(?i)(?:com|org|net|edu|gov|info|io|co|uk|de|fr|es|it|nl|eu|us|ca|au|ch|at|be|pl|se)$"
-ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[47]|6011|65|35)"
-AREAS = r"^(?:00[1-9]|\(0[1-9]|0[1-9]|\([2-9][0-9]{2}\)|[2-9][0-9]{2}[\x20.-][2-9])"
+#: Gazetteers. General top-level domains (with any country's two letters), ranges of card issuers, international dialling codes.
+GENERAL_DOMAINS = "com org net edu gov mil int info biz name pro aero coop museum jobs mobi travel cat tel asia post xyz online site shop store app dev cloud tech blog news email group team world life live media agency company".split()
+DOMAINS = rf"(?i)[.\x20](?:[a-z]{{2}}|{'|'.join(GENERAL_DOMAINS)})$"
+ISSUERS = r"^(?:4|5[1-5]|222[1-9]|22[3-9]|2[3-6]|27[01]|2720|3[47]|36|38|39|30[0-5]|352[89]|35[3-8]|6011|64[4-9]|65|62|50|5[6-9])"
+DIALLING = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98 212 213 216 218 351 352 353 354 355 356 357 358 359 370 371 372 373 374 375 380 381 385 386 387 420 421 852 886 971 972 966".split()
+AREAS = rf"^(?:00(?:{'|'.join(DIALLING)})[\x20.-]|\(0[1-9]|0[1-9]|\([2-9][0-9]{{2}}\)|[2-9][0-9]{{2}}[\x20.-][2-9])"
 CUES = {
     "email": r"(?i)(?:e-?mail|mail|contact|write|reach|correo|courriel)\W*(?:\w+\W+){0,3}$",
     "ip": r"(?i)(?:\bip\b|ipv6|address|host|server|from)\W*(?:\w+\W+){0,3}$",
@@ -95,9 +97,9 @@ def candidates(name: str, kind: int) -> Column:
         flags = [m.rlike(forms[kind]), m.rlike(gazetteers[kind]), before(s).rlike(CUES[KINDS[kind]]), checks[kind](m)]
         vote = sum((f.cast("int") * (1 << i) for i, f in enumerate(flags[1:], 1)), flags[0].cast("int"))
         n = digits(m)
-        # The code is mixed of kind, number of digits, length, kind of separator, and whether the first one is zero.
+        # The code is mixed of kind, number of digits, length, kind of separator, whether the first one is zero, and what the gazetteer and the words before say.
         sign = F.when(m.rlike(r"[\[({]"), 0).when(m.rlike("-"), 1).when(m.rlike(r"\."), 2).otherwise(3)
-        code = F.lit(kind) + 4 * (F.least(n, F.lit(20)) + 21 * (F.least(F.floor(F.length(m) / 8).cast("int"), F.lit(5)) + 6 * (sign + 4 * m.startswith("0").cast("int"))))
+        code = F.lit(kind) + 4 * (F.least(n, F.lit(20)) + 21 * (F.least(F.floor(F.length(m) / 8).cast("int"), F.lit(5)) + 6 * (sign + 4 * (m.startswith("0").cast("int") + 2 * (flags[1].cast("int") + 2 * flags[2].cast("int"))))))
         return F.struct(s.cast("int").alias("start"), F.lit(kind).alias("kind"), (s + F.length(m)).cast("int").alias("end"), vote.cast("int").alias("votes"), code.cast("int").alias("code"))
 
     return F.zip_with(f"s_{name}", f"m_{name}", one)
@@ -137,7 +139,8 @@ def code_features(code: int) -> tuple[str, ...]:
     kind, rest = code % 4, code // 4
     digits, rest = rest % 21, rest // 21
     length, rest = rest % 6, rest // 6
-    return ("1", f"k{kind}", f"d{kind}/{digits}", f"l{kind}/{length}", f"s{kind}/{rest % 4}", f"z{kind}/{rest // 4}")
+    sign, rest = rest % 4, rest // 4
+    return ("1", f"k{kind}", f"d{kind}/{digits}", f"l{kind}/{length}", f"s{kind}/{sign}", f"z{kind}/{rest % 2}", f"g{kind}/{rest // 2 % 2}", f"c{kind}/{rest // 4}")
 
 
 def train(targets: dict[int, tuple[float, float]], rounds: int = 300) -> dict[int, float]:

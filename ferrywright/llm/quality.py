@@ -225,7 +225,11 @@ def score_documents(docs: DataFrame, weights: np.ndarray | None = None) -> DataF
 
 
 def keep_good(docs: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps, all columns as they are; nothing is shuffled."""
+    """The rows of ``docs`` that the classifier keeps, all columns as they are; nothing is shuffled.
+
+    A null text counts as an empty one; equal texts, and so repeated rows, stay or go together; very long texts are
+    read whole; null ids and any other columns are carried; an empty table stays empty.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs) if weights is None else weights)
     return common.filter_rows(docs, ["text"], lambda: lambda batch: [score(t, shared.value) >= KEEP_FROM for t in batch.column(0).to_pylist()])
 

@@ -248,6 +248,7 @@ def encode_corpus(docs: DataFrame, path: str | None = None, tokenizer: str | Non
     Every document has the end id 0 after its ids. A null or empty text is the end
     id alone; a null doc_id sorts last; repeated ids keep a row each, in the order
     of their texts' hashes; an empty table gives no row. Extra columns are ignored.
+    The string of one of the tokenizer's added tokens is that token wherever a text has it, as in the library itself.
     """
     spark = docs.sparkSession
     path = path or common.new_path(spark, "token-shards")

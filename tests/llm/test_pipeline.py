@@ -53,3 +53,25 @@ def test_empty_table(spark, data, tmp_path):
     for name, stage in corpus_pipeline.STAGES:
         docs = common.stage(stage(spark, docs, data), f"pipeline-empty-{name}")
     assert docs.collect() == []
+
+
+def test_edge_rows_pass_every_stage(spark, data):
+    from pyspark.sql import functions as F
+
+    docs = common.table(spark, data, "documents")
+    text = docs.orderBy(F.desc(F.length("text"))).first().text
+    edge = [(None, text, None, None, None), (None, None, None, None, None), (900001, None, "en", "s", 1), (900001, None, "en", "s", 1), (900002, "", "en", None, None), (900003, text * 20, "en", "s", 2), (900004, text, "en", "s", 3), (900004, text, "en", "s", 3)]
+    both = docs.unionByName(spark.createDataFrame(edge, docs.schema)).withColumns({"key": F.lit(1), "_row": F.col("text"), "Copies": F.lit(None).cast("int"), "cell": F.lit("x"), "_c0": F.lit(2)})
+    counts = [both.count()]
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, both, data)
+        if name != "token_ids":
+            assert out.columns == both.columns
+        before, both = both, common.stage(out, f"pipeline-edge-{name}")
+        counts.append(both.count())
+        if name == "simhash_near_dedup":
+            ids = [r.doc_id for r in both.collect()]
+            assert len(ids) == len(set(ids)) and 900004 not in ids
+        if name in ("quality_classifier", "benchmark_decontamination"):
+            assert both.exceptAll(before).isEmpty()
+    assert counts[5] == counts[4] and counts[1] <= counts[0] and counts[3] <= counts[2] <= counts[1]
