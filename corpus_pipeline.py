@@ -35,31 +35,56 @@ def _stage(work: Callable) -> Callable:
 
 @_stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier keeps."""
+    """Documents that the classifier keeps.
+
+    A null text counts as an empty one, and both are judged like any other; null ids and columns are carried;
+    very long texts are read whole; equal texts get equal scores, so ties and repeated rows stay or go together;
+    an empty table stays empty; columns of any name, clashing ones too, are carried.
+    """
     return quality.keep_good(docs)
 
 
 @_stage
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that with the smallest doc_id."""
+    """One document of each group of near-duplicates, that with the smallest doc_id.
+
+    Null and empty texts and texts without words are one group; rows without a doc_id come after all others; of
+    repeated rows of one id one stays; very long texts are read whole; an empty table stays empty; columns of any
+    name, clashing ones too, are carried.
+    """
     return simhash.drop_near_duplicates(docs)
 
 
 @_stage
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item, whole or edited."""
+    """Documents that hold no benchmark item, whole or edited.
+
+    Null and empty texts hold nothing and stay; null ids are carried; very long texts are aligned whole, in memory
+    that goes with the text; repeated rows stay or go together; an empty table stays empty, and without items all
+    documents stay; columns of any name, clashing ones too, are carried.
+    """
     return decontaminate.drop_contaminated(docs, common.table(spark, sf_dir, "benchmark"))
 
 
 @_stage
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them.
+
+    A null source is a source of its own, the last; null and empty texts have size 0 and are taken at their
+    source's rate; equal sizes are ordered by doc_id, nulls last, then by the row's number in the table that is
+    staged here, so that repeated rows are counted each; an empty table stays empty; columns of any name are carried.
+    """
     return mixing.mix_documents(docs)
 
 
 @_stage
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per document of the token shards: doc_id, start, n_tokens, ids_crc32."""
+    """Per document of the token shards: doc_id, start, n_tokens, ids_crc32.
+
+    A null or empty text is the end id alone; a null doc_id sorts last; repeated rows keep a row each, in the order
+    of their texts' hashes; a very long text has a shard of its own; an added token's string in a text is that
+    token, as the library has it; an empty table gives no row; extra columns are left out.
+    """
     return tokens.encode_corpus(docs)
 
 
