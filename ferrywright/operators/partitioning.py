@@ -90,6 +90,16 @@ def merge_partitions(df: DataFrame) -> DataFrame:
     return df.drop("partition_name")
 
 
+def reference_by_hash(child: DataFrame, table: str, key: str, n: int, modulo: bool = False) -> DataFrame:
+    """Reference partitioning where the parent is hashed by its key: the child's own reference gives the same partition, without a join."""
+    return hash_partition(child, table, [key], n, modulo=modulo)
+
+
+def subpartition_counts(parts: DataFrame) -> DataFrame:
+    """``(table_name, position, n_subparts)`` with totals per table (position null) and over all (both null)."""
+    return parts.rollup("table_name", "position").agg(F.count_distinct("sub_position").alias("n_subparts"), F.count(F.lit(1)).alias("n_rows"))
+
+
 def partition_counts(parts: DataFrame) -> DataFrame:
     """``(table_name, method, n_parts)`` with a total per method (table_name null) and over all."""
     return parts.rollup("method", "table_name").agg(F.count_distinct("position").alias("n_parts"))

@@ -78,6 +78,17 @@ def a8_partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partitioning.partition_counts(p).where("table_name is null").select("method", "n_parts")
 
 
+def a8_subpartition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sub-partitions by table and partition, rolled up."""
+    p = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("table_name"), (F.col("l_partkey") % 5).alias("position"), (F.col("l_suppkey") % 9).alias("sub_position"))
+    return partitioning.subpartition_counts(p)
+
+
+def r4_reference_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines in the partitions that their orders have by hash."""
+    return partitioning.reference_by_hash(table(spark, sf_dir, "lineitem"), "lineitem", "l_orderkey", 6, modulo=True).groupBy("partition_name").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def a9_schema_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assessment.schema_size(table(spark, sf_dir, "pages").select(F.concat(F.lit("s"), (F.col("page_id") % 5).cast("string")).alias("owner"), (_long(F.octet_length("html")) * 1048576).alias("bytes")))
 
@@ -296,6 +307,11 @@ QUERIES = {
     ),
     "a7_column_counts": (a7_column_counts, "SELECT n AS n_columns, count(*) AS n_tables FROM (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) GROUP BY 1"),
     "a8_partition_counts": (a8_partition_counts, "SELECT l_returnflag AS method, count(DISTINCT l_suppkey % 7) AS n_parts FROM lineitem GROUP BY ROLLUP (l_returnflag)"),
+    "a8_subpartition_counts": (
+        a8_subpartition_counts,
+        "SELECT l_returnflag AS table_name, l_partkey % 5 AS position, count(DISTINCT l_suppkey % 9) AS n_subparts, count(*) AS n_rows FROM lineitem GROUP BY ROLLUP (l_returnflag, l_partkey % 5)",
+    ),
+    "r4_reference_hash": (r4_reference_hash, "SELECT 'lineitem_part' || (l_orderkey % 6 + 1) AS partition_name, count(*) AS n_rows FROM lineitem GROUP BY 1"),
     "a9_schema_size": (a9_schema_size, "SELECT 's' || (page_id % 5) AS owner, sum(strlen(html))::DOUBLE AS size_mb FROM pages GROUP BY 1"),
     "a11_distinct": (a11_distinct, "SELECT o_orderstatus, count(*) AS n_pairs, string_agg(o_orderpriority, ';' ORDER BY o_orderpriority) AS priorities FROM (SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders) GROUP BY 1"),
     "e13_kinds": (e13_kinds, "SELECT CASE o_orderstatus WHEN 'F' THEN 'FUNCTION' WHEN 'O' THEN 'VIEW' ELSE 'TRIGGER' END AS object_type, CASE WHEN o_orderkey % 11 = 0 THEN 'INVALID' ELSE 'VALID' END AS status, count(*) AS n FROM orders GROUP BY 1, 2"),

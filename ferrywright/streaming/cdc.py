@@ -40,7 +40,9 @@ def stream_apply(stream: DataFrame, target_path: str, keys: Sequence[str], order
     """Apply a stream of extracts to a Parquet target, a version of it per batch: ``<target_path>/v=<batch>``.
 
     A batch that runs again writes the same version again from the one before it,
-    so each change counts once. ``late`` (column, delay) drops repeats within a watermark.
+    so each change counts once; versions older than that are deleted. A batch writes the
+    whole target anew, so batches should be large: ``availableNow`` makes few of them.
+    ``late`` (column, delay) drops repeats within a watermark.
     """
     spark = stream.sparkSession
     if late:
@@ -51,6 +53,9 @@ def stream_apply(stream: DataFrame, target_path: str, keys: Sequence[str], order
         if number:
             new = merge_extract(spark.read.schema(rows.schema).parquet(f"{target_path}/v={number - 1}"), new, keys)
         new.write.mode("overwrite").parquet(f"{target_path}/v={number}")
+        if number > 1:
+            old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target_path}/v={number - 2}")
+            old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

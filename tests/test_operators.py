@@ -227,6 +227,10 @@ def test_stream_apply(spark, tmp_path):
     spark.createDataFrame([(2, 9, at + dt.timedelta(minutes=2)), (3, 3, at)], schema).coalesce(1).write.mode("append").parquet(src)
     run()
     assert {(r.k, r.v) for r in spark.read.parquet(str(tmp_path / "out/v=1")).collect()} == {(1, 5), (2, 9), (3, 3)}
+    spark.createDataFrame([(4, 4, at)], schema).coalesce(1).write.mode("append").parquet(src)
+    run()
+    assert {(r.k, r.v) for r in spark.read.parquet(str(tmp_path / "out/v=2")).collect()} == {(1, 5), (2, 9), (3, 3), (4, 4)}
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_dir()) == ["v=1", "v=2"]
 
 
 def test_windowed_counts_on_a_stream(spark, data):
