@@ -159,7 +159,9 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     n = distinct.count()
     blocks = next(b for most, b in BLOCK_STEPS if most is None or n <= most)
     keyed = distinct.select("fp", F.explode(shard_keys(F.col("fp"), max(blocks, radius + 1), radius)).alias("key"))
-    roots = graph.connected_components(link_cells(common.pair_cells(keyed, "key", "fp", MAX_CELL), radius))
+    # The links are staged, so that no task runs two Python workers at once, which would both stay and double an executor's memory.
+    links = common.stage(link_cells(common.pair_cells(keyed, "key", "fp", MAX_CELL), radius), "links")
+    roots = graph.connected_components(links)
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = rooted.join(least, "root").select("fp", "component_id")
