@@ -38,10 +38,12 @@ STAGED = "part int, chunk int, part_offset long, n_ids long, doc_ids array<long>
 SHARDS = "part int, chunk int, n_ids long, shard binary"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
-#: The byte-level pre-tokeniser's rule, for Python's re: the same words in texts whose characters the two engines class alike.
-_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-#: Anything beyond those characters, such as numerals that are no decimal digits; such texts go to the library whole.
+#: Anything beyond the characters that Python's re and the library class alike, such as numerals that are no decimal digits; such texts go to the library whole.
 _ODD = re.compile("[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-\u052f\u2000-\u206f\u20a0-\u20bf]")
+#: The letters among those characters, listed, as Python's re looks a listed one up at once and asks of any other three questions.
+_LETTERS = "".join(re.findall(r"[^\W\d_]", _ODD.sub("", "".join(map(chr, range(0x20C0))))))
+#: The byte-level pre-tokeniser's rule, for Python's re: the same words in texts that are not odd.
+_WORDS = re.compile(rf" ?[{_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -70,7 +72,8 @@ class WordEncoder(dict):
         self.code = array("H").typecode if self.dtype == "<u2" else array("I").typecode
 
     def __missing__(self, word: str) -> bytes:
-        spelt = word.encode("utf-8").decode("latin-1").translate(self.letters)
+        # Of ASCII in print the space alone is spelt with another letter.
+        spelt = word.replace(" ", self.letters[0x20]) if word.isascii() and word.isprintable() else word.encode("utf-8").decode("latin-1").translate(self.letters)
         ids = array(self.code, [t.id for t in self.model.tokenize(spelt)]).tobytes()
         if len(self) < CACHED_WORDS:
             self[word] = ids
