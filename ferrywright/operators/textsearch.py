@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferrywright.functions.cleaning import unaccent
+from ferrywright.scratch import checkpoint
 
 
 def words(column: Column, plain: bool = True) -> Column:
@@ -37,42 +38,70 @@ def fts_search(index: DataFrame, query: str, all_words: bool = True) -> DataFram
     return hits.where(F.col("_w") >= (len(wanted) if all_words else 1)).select("id", "rank")
 
 
+def _padded(column: Column) -> Column:
+    """A text as trigrams see it: without accents, two spaces in front and one behind."""
+    return F.concat(F.lit("  "), unaccent(column), F.lit(" "))
+
+
 def trigrams(column: Column) -> Column:
     """The distinct trigrams of a text, padded with two spaces in front and one behind."""
-    padded = F.concat(F.lit("  "), unaccent(column), F.lit(" "))
-    letters = F.split(padded, "")
-    return F.array_distinct(F.transform(F.sequence(F.lit(0), F.length(padded) - 3), lambda i: F.concat(F.get(letters, i), F.get(letters, i + 1), F.get(letters, i + 2))))
+    # An array of one element binds the letters once; a lambda's body is computed anew for each trigram.
+    letters = F.filter(F.array(F.split(_padded(column), "")), lambda x: x.isNotNull())
+    grams = F.transform(letters, lambda x: F.transform(F.sequence(F.lit(1), F.size(x) - 2), lambda i: F.array_join(F.slice(x, i, 3), "")))
+    return F.array_distinct(F.get(grams, 0))
+
 
+def _gram_table(df: DataFrame) -> DataFrame:
+    """``(key, text, grams, n)`` of the distinct texts, computed once: trigrams as numbers of three code points, exact and quick to compare."""
+    codes = df.where("text is not null").select("text").distinct().withColumn("_codes", F.transform(F.split(_padded(F.col("text")), ""), lambda c: F.ascii(c).cast("long")))
+    pack = lambda i: F.shiftleft(F.get("_codes", i), 42) + F.shiftleft(F.get("_codes", i + 1), 21) + F.get("_codes", i + 2)
+    grams = codes.withColumn("grams", F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("_codes") - 3), pack)))
+    return checkpoint(grams.select(F.monotonically_increasing_id().alias("key"), "text", "grams", F.size("grams").alias("n")))
 
-def trigram_candidates(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
-    """``(a_text, b_text, a_n, b_n)`` of the pairs that can be alike, of ``(a_text, a_n, g)`` and ``(b_text, b_n, g)`` tables.
+
+def trigram_candidates(left: DataFrame, right: DataFrame, threshold: float, key: str = "text") -> DataFrame:
+    """``(a_<key>, b_<key>, a_n, b_n)`` of the pairs that can be alike, of ``(a_<key>, a_n, g)`` and ``(b_<key>, b_n, g)`` tables.
 
     Texts of a similarity of ``threshold`` share that part of each one's trigrams at least, so one of
-    the trigrams before them is shared too, if all are in one order. The rarest ones come first.
+    the trigrams before them is shared too, if all are in one order. The rarest ones come first. What is left
+    behind the first shared one on either side bounds how many can be shared, which parts most pairs before they are made distinct.
     """
     counts = left.select("g").unionAll(right.select("g")).groupBy("g").agg(F.count(F.lit(1)).alias("_held"))
 
     def rarest(grams: DataFrame, name: str) -> DataFrame:
-        place = F.row_number().over(Window.partitionBy(f"{name}_text").orderBy("_held", "g"))
+        place = F.row_number().over(Window.partitionBy(f"{name}_{key}").orderBy("_held", "g"))
         needed = F.greatest(F.lit(1), F.ceil(F.col(f"{name}_n") * threshold - 1e-9))
-        return grams.join(counts, "g").withColumn("_place", place).where(F.col("_place") <= F.col(f"{name}_n") - needed + 1).select(f"{name}_text", f"{name}_n", "g")
+        placed = grams.join(counts, "g").withColumn(f"{name}_place", place)
+        return placed.where(F.col(f"{name}_place") <= F.col(f"{name}_n") - needed + 1).select(f"{name}_{key}", f"{name}_n", f"{name}_place", "g")
 
     sizes = (F.col("a_n") >= F.col("b_n") * threshold - 1e-9) & (F.col("b_n") >= F.col("a_n") * threshold - 1e-9)
-    return rarest(left, "a").join(rarest(right, "b"), "g").where(sizes).select("a_text", "b_text", "a_n", "b_n").distinct()
+    at_most = 1 + F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
+    reach = at_most >= (F.col("a_n") + F.col("b_n")) * (threshold / (1 + threshold)) - 1e-6
+    return rarest(left, "a").join(rarest(right, "b"), "g").where(sizes & reach).select(f"a_{key}", f"b_{key}", "a_n", "b_n").distinct()
 
 
 def trigram_join(a: DataFrame, b: DataFrame, threshold: float = 0.3) -> DataFrame:
     """``(a_id, b_id, similarity)`` of ``(id, text)`` tables: shared trigrams over all of both, of pairs that share any.
 
-    Only pairs that share one of their rarest trigrams are compared, by which no link is lost. Both sides are first made distinct by text, so that many rows of one text cost no more than one; ids are joined back.
+    Only pairs that share one of their rarest trigrams are compared, by which no link is lost. Both sides are first made distinct by text,
+    so that many rows of one text cost no more than one; trigrams are computed once per text, and ids are joined back. Of one table
+    with itself (``b`` is ``a``) each pair is compared once and given both ways.
     """
-
-    def sides(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-        texts = df.where("text is not null").select(F.col("text").alias(f"{name}_text")).distinct().withColumn("g", trigrams(F.col(f"{name}_text")))
-        return texts.select(f"{name}_text", F.size("g").alias(f"{name}_n"), F.explode("g").alias("g")), df.select(F.col("id").alias(f"{name}_id"), F.col("text").alias(f"{name}_text"))
-
-    left, left_ids = sides(a, "a")
-    right, right_ids = sides(b, "b")
-    shared = trigram_candidates(left, right, threshold).withColumn("n", F.size(F.array_intersect(trigrams(F.col("a_text")), trigrams(F.col("b_text")))))
+    same = a is b
+    left = _gram_table(a)
+    right = left if same else _gram_table(b)
+    grams = {k: df.select(F.col("key").alias(f"{k}_key"), F.col("n").alias(f"{k}_n"), F.explode("grams").alias("g")) for k, df in (("a", left), ("b", right))}
+    texts = {k: df.select(F.col("key").alias(f"{k}_key"), F.col("text").alias(f"{k}_text"), F.col("grams").alias(f"{k}_grams")) for k, df in (("a", left), ("b", right))}
+    pairs = trigram_candidates(grams["a"], grams["b"], threshold, "key")
+    if same:
+        pairs = pairs.where("a_key <= b_key")
+    n = F.size(F.array_intersect("a_grams", "b_grams"))
+    # Counted before the filter, on rows of their own, so that no step computes it again.
+    shared = pairs.join(texts["a"], "a_key").join(texts["b"], "b_key").select("a_key", "b_key", "a_text", "b_text", "a_n", "b_n", n.alias("n"))
     similarity = F.col("n") / (F.col("a_n") + F.col("b_n") - F.col("n"))
-    return shared.withColumn("similarity", similarity).where(F.col("similarity") >= threshold).select("a_text", "b_text", "similarity").join(left_ids, "a_text").join(right_ids, "b_text").select("a_id", "b_id", "similarity")
+    alike = shared.withColumn("similarity", similarity).where(F.col("similarity") >= threshold)
+    if same:
+        mirror = F.when(F.col("a_key") == F.col("b_key"), F.array(F.struct("a_text", "b_text"))).otherwise(F.array(F.struct("a_text", "b_text"), F.struct(F.col("b_text").alias("a_text"), F.col("a_text").alias("b_text"))))
+        alike = alike.select("similarity", F.inline(mirror))
+    ids = {k: df.select(F.col("id").alias(f"{k}_id"), F.col("text").alias(f"{k}_text")) for k, df in (("a", a), ("b", b))}
+    return alike.select("a_text", "b_text", "similarity").join(ids["a"], "a_text").join(ids["b"], "b_text").select("a_id", "b_id", "similarity")

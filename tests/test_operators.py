@@ -383,3 +383,12 @@ def test_regexp_instr_finds_the_nth_match(spark):
     df = spark.createDataFrame([("abcabcabc",), ("xyz",), (None,)], "s string")
     got = df.select(oracle.regexp_instr(F.col("s"), "b", 3, 2).alias("a"), oracle.regexp_instr(F.col("s"), "bc", end=True).alias("b"), oracle.regexp_instr(F.col("s"), "B", flags="i").alias("c")).collect()
     assert [tuple(r) for r in got] == [(8, 4, 2), (0, 0, 0), (None, None, None)]
+
+
+def test_trigram_join_of_many_texts_with_a_frequent_trigram(spark):
+    own = lambda salt: spark.range(20000).select(F.col("id"), F.concat(F.lit("www"), F.md5((F.col("id") + salt * F.expr("case when id % 1000 = 0 then 0 else 1 end")).cast("string"))).alias("text"))
+    got = {(r.a_id, r.b_id) for r in textsearch.trigram_join(own(0), own(100000), 0.8).collect()}
+    assert got == {(i, i) for i in range(0, 20000, 1000)}
+    a = own(0).where("id < 300").unionAll(spark.createDataFrame([(900, "www x"), (901, "wwwx x"), (902, "www x"), (903, None)], "id long, text string"))
+    both, mirrored = textsearch.trigram_join(a, a.select("*"), 0.4), textsearch.trigram_join(a, a, 0.4)
+    assert sorted(map(tuple, both.collect())) == sorted(map(tuple, mirrored.collect())) and mirrored.count() >= 307
