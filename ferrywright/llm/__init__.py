@@ -1 +1 @@
-"""Operators that prepare training corpora: ten first-class jobs and the pipeline that chains five of them."""
+"""Operators that prepare training corpora: thirteen first-class jobs and the pipeline that chains five of them."""

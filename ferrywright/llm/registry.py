@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, flac, lines, mixing, pii, quality, secrets, simhash, tokens, warc
+from . import audit, decontaminate, flac, importance, lines, mixing, packing, pii, quality, secrets, simhash, tokens, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash": simhash.op8_simhash,
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_secrets": secrets.op10_secrets,
+        "op11_importance_resampling": importance.op11_importance_resampling,
+        "op12_filter_audit": audit.op12_filter_audit,
+        "op13_best_fit_packing": packing.op13_best_fit_packing,
     }
 
 
@@ -28,4 +31,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_warc_revisits": warc.ORACLE_SQL,
         "op5_mix_sources": mixing.ORACLE_SQL,
+        "op11_importance_resampling": importance.ORACLE_SQL,
+        "op12_filter_audit": audit.ORACLE_SQL,
     }
