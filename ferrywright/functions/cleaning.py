@@ -51,12 +51,15 @@ def transform_values(df: DataFrame, expressions: Mapping[str, str | Column]) ->
 
 
 def modify_type(df: DataFrame, kinds: Mapping[str, str], separator: str = ",") -> DataFrame:
-    """Force types; a text becomes an array by splitting at ``separator``."""
+    """Force types; a text becomes an array by splitting at ``separator``, a composite by its fields in order, nulls kept."""
     have = {f.name: f.dataType for f in df.schema.fields}
     change = {}
     for c, kind in kinds.items():
         if kind.startswith("array<") and isinstance(have[c], T.StringType):
             change[c] = F.when(F.length(c) > 0, F.split(c, f"\\Q{separator}\\E")).otherwise(F.when(F.col(c).isNotNull(), F.array())).cast(kind)
+        elif kind.startswith("array<") and isinstance(have[c], T.StructType):
+            # A composite of like fields: its fields in order.
+            change[c] = F.when(F.col(c).isNotNull(), F.array(*[F.col(c)[f.name] for f in have[c].fields])).cast(kind)
         else:
             change[c] = F.col(c).try_cast(kind)
     return df.withColumns(change)

@@ -21,6 +21,17 @@ TSQL_STYLES = {
     127: "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'", 130: "dd MMM yyyy hh:mm:ss:SSSa", 131: "dd/MM/yy hh:mm:ss:SSSa",
 }
 
+#: Styles below 100 that mean the same as the one 100 above; the others have a year of two digits.
+SAME_AS_LONG = (0, 9, 13, 14, 20, 21)
+
+
+def tsql_style(style: int) -> str:
+    """The pattern of a CONVERT style."""
+    if style >= 100:
+        return TSQL_STYLES[style]
+    long = TSQL_STYLES[style + 100]
+    return long if style in SAME_AS_LONG else long.replace("yyyy", "yy")
+
 
 def quoted(text: str) -> str:
     """Letters of a literal, for a Spark pattern."""

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ferrywright.functions import masks
+from ferrywright.functions import masks, numbers
 
 
 def _lit(x) -> Column:
@@ -86,8 +86,8 @@ def log(a, b: Column | None = None) -> Column:
 
 
 def truncate(x: Column, n: int) -> Column:
-    scale = 10.0**n
-    return F.signum(x) * F.floor(F.abs(x) * scale) / scale
+    """TRUNCATE(x, n): towards zero, by the digits that the number shows, so that 0.29 to two places is 0.29. A double comes back as one."""
+    return numbers.cut(x, n)
 
 
 def mod(a: Column, b) -> Column:
@@ -421,3 +421,25 @@ def period_diff(a: Column, b: Column) -> Column:
 
 def sha(x: Column, bits: int = 160) -> Column:
     return F.sha1(x.cast("binary")) if bits == 160 else F.sha2(x.cast("binary"), bits)
+
+
+def convert_using(x: Column, charset: str) -> Column:
+    """``CONVERT(x USING cs)``: a text with what the character set cannot hold as a question mark."""
+    names = {"utf8": "UTF-8", "utf8mb4": "UTF-8", "utf8mb3": "UTF-8", "latin1": "ISO-8859-1", "ascii": "US-ASCII", "ucs2": "UTF-16BE", "utf16": "UTF-16"}
+    name = names.get(charset.lower(), charset)
+    if name == "UTF-8":
+        return x.cast("string")
+    # Spark's own encoder takes a sign beyond the set for an error.
+    beyond = {"US-ASCII": r"[^\x00-\x7F]", "ISO-8859-1": r"[^\x00-\xFF]"}.get(name)
+    text = F.regexp_replace(x.cast("string"), beyond, "?") if beyond else x.cast("string")
+    return F.decode(F.encode(text, name), name)
+
+
+def binary(x: Column) -> Column:
+    """``BINARY x``: the bytes, by which texts compare with case and accents."""
+    return x.cast("string").cast("binary")
+
+
+def rand(seed: int | None = None) -> Column:
+    """RAND: in [0, 1); with a seed the same numbers for the same rows and partitions."""
+    return F.rand(seed)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferrywright.functions import masks
+from ferrywright.functions import masks, numbers
 from ferrywright.operators.selection import regexp_flags
 
 
@@ -49,8 +49,7 @@ def trunc(d: Column, fmt: str = "DD", week_start: int = 1) -> Column:
 
 def trunc_number(x: Column, n: int = 0) -> Column:
     """TRUNC of a number: towards zero."""
-    scale = 10.0**n
-    return F.signum(x) * F.floor(F.abs(x) * scale) / scale
+    return numbers.cut(x, n)
 
 
 def add_months(d: Column, n, eom: bool = False) -> Column:

@@ -102,7 +102,7 @@ def datediff(name: str, a: Column, b: Column) -> Column:
 def convert(kind: str, x: Column, style: int | None = None, length: int | None = None, to_text: bool = True) -> Column:
     """CONVERT: with a style a date to text, or text to a date with ``to_text`` false; else a cast, null if it does not fit, cut to a length."""
     if style is not None:
-        pattern = masks.TSQL_STYLES[style if style >= 100 else style + 100]
+        pattern = masks.tsql_style(style)
         return F.date_format(x, pattern) if to_text else F.try_to_timestamp(x, F.lit(pattern))
     names = {"varchar": "string", "nvarchar": "string", "char": "string", "nchar": "string", "datetime": "timestamp", "datetime2": "timestamp", "bit": "boolean", "money": "decimal(19,4)", "uniqueidentifier": "string"}
     out = x.try_cast(names.get(kind.lower(), kind))
@@ -195,3 +195,10 @@ def pivot(df: DataFrame, keys: list[str], column: str, values: list, aggregate:
 def unpivot(df: DataFrame, keys: list[str], columns: list[str], name: str, value: str) -> DataFrame:
     """UNPIVOT: nulls are left out."""
     return df.unpivot(keys, columns, name, value).where(F.col(value).isNotNull())
+
+
+def next_value_for(df: DataFrame, name: str, last: int, order: list[Column], increment: int = 1) -> DataFrame:
+    """``NEXT VALUE FOR`` a sequence over (order): a number a row, going on from the last one used, without gaps."""
+    from ferrywright.functions.oracle import gapless
+
+    return gapless(df, order, name, last, increment)

@@ -10,6 +10,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ferrywright.operators.relational import with_rownum
+
 # Names of the types in the last two digits of a gtype.
 TYPE_NAMES = {1: "POINT", 2: "LINESTRING", 3: "POLYGON", 4: "GEOMETRYCOLLECTION", 5: "MULTIPOINT", 6: "MULTILINESTRING", 7: "MULTIPOLYGON"}
 
@@ -90,35 +92,76 @@ def mbr_test(predicate: str, a: str = "a", b: str = "b") -> Column:
     return {"contains": has, "within": within, "equal": has & within, "intersects": meet, "disjoint": ~meet, "overlaps": inner & ~has & ~within, "touches": meet & ~inner}[predicate]
 
 
+def _levels(df: DataFrame, size: float) -> DataFrame:
+    """Boxes with ``level``: the least power of two times ``size`` that is as large as the box, so that it covers four cells of that size at most."""
+    extent = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
+    return df.withColumn("level", F.greatest(F.lit(0), F.coalesce(F.ceil(F.log2(extent / size)), F.lit(0))).cast("int"))
+
+
+def _cells(df: DataFrame, size: float, others: list[int], name: str) -> DataFrame:
+    """Boxes in the cells of their own level, and of each coarser level that boxes of the other side have."""
+    coarser = F.filter(F.array(*[F.lit(v) for v in others]).cast("array<int>"), lambda v: v > F.col("level"))
+    out = df.withColumn("at", F.explode(F.concat(F.array("level"), coarser))).withColumn("cell", F.lit(size) * F.pow(F.lit(2.0), F.col("at")))
+    spread = lambda lo, hi: F.sequence(F.floor(F.col(lo) / F.col("cell")), F.floor(F.col(hi) / F.col("cell")))
+    return out.withColumn("gx", F.explode(spread("x0", "x1"))).withColumn("gy", F.explode(spread("y0", "y1"))).alias(name)
+
+
+def _box_pairs(a: DataFrame, b: DataFrame, size: float) -> DataFrame:
+    """Pairs ``a.*, b.*`` of boxes that share a cell, each pair once: at the level of the larger box, in the first cell that both have.
+
+    A box of any size is in few cells, and a small one in four more for each coarser level that the other side has; levels are
+    powers of two, so there are few. Null corners meet nothing.
+    """
+    whole = lambda df: _levels(df.where("x0 is not null and y0 is not null and x1 is not null and y1 is not null"), size)
+    left, right = whole(a), whole(b)
+    # Distinct powers of two: bounded by the exponents that a double can have.
+    found = [sorted(r.level for r in df.select("level").distinct().collect()) for df in (left, right)]
+    both = _cells(left, size, found[1], "a").join(_cells(right, size, found[0], "b"), [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("at", "gx", "gy")])
+    first = [F.col(f"a.{g}") == F.greatest(F.floor(F.col(f"a.{lo}") / F.col("a.cell")), F.floor(F.col(f"b.{lo}") / F.col("b.cell"))) for g, lo in (("gx", "x0"), ("gy", "y0"))]
+    return both.where((F.col("a.at") == F.greatest("a.level", "b.level")) & first[0] & first[1])
+
+
 def mbr_join(a: DataFrame, b: DataFrame, predicate: str, size: float) -> DataFrame:
-    """``(a_id, b_id)`` of boxes ``(id, x0, y0, x1, y1)``: an equi-join on the grid cells of ``size`` that boxes cover, each pair in the first cell that both have."""
+    """``(a_id, b_id)`` of boxes ``(id, x0, y0, x1, y1)`` by a predicate other than disjoint: an equi-join on the cells of a grid of several levels, whose finest cells have ``size``.
+
+    For disjoint boxes see :func:`mbr_disjoint`, which wants a stated query set.
+    """
     if predicate == "disjoint":
-        raise ValueError("pairs of disjoint boxes are nearly all pairs; take the others from a stated set")
+        raise ValueError("pairs of disjoint boxes are nearly all pairs: ask for those of a stated set with mbr_disjoint")
+    return _box_pairs(a, b, size).where(mbr_test(predicate)).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"))
 
-    def cells(df: DataFrame, name: str) -> DataFrame:
-        spread = lambda lo, hi: F.sequence(F.floor(F.col(lo) / size), F.floor(F.col(hi) / size))
-        return df.withColumn("gx", F.explode(spread("x0", "x1"))).withColumn("gy", F.explode(spread("y0", "y1"))).alias(name)
 
-    both = cells(a, "a").join(cells(b, "b"), (F.col("a.gx") == F.col("b.gx")) & (F.col("a.gy") == F.col("b.gy")))
-    first = (F.col("a.gx") == F.greatest(F.floor(F.col("a.x0") / size), F.floor(F.col("b.x0") / size))) & (F.col("a.gy") == F.greatest(F.floor(F.col("a.y0") / size), F.floor(F.col("b.y0") / size)))
-    return both.where(first & mbr_test(predicate)).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"))
+def mbr_disjoint(queries: DataFrame, b: DataFrame, block: int = 10_000) -> DataFrame:
+    """``(a_id, b_id)`` of the boxes that do not meet those of a stated query set: blocks of at most ``block`` queries, each broadcast to all rows."""
+    names = ["id", "x0", "y0", "x1", "y1"]
+    numbered = with_rownum(queries.select(*names).where("x0 is not null"), [F.col("id")], "_nth")
+    out = None
+    for at in range(0, numbered.count(), block):
+        some = F.broadcast(numbered.where(F.col("_nth").between(at + 1, at + block)).drop("_nth")).alias("a")
+        found = b.select(*names).alias("b").join(some, mbr_test("disjoint")).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"))
+        out = found if out is None else out.unionByName(found)
+    return out if out is not None else queries.select(F.col("id").alias("a_id"), F.col("id").alias("b_id")).limit(0)
 
 
 def points_in_polygons(points: DataFrame, rings: DataFrame, size: float) -> DataFrame:
-    """``(point_id, polygon_id)``: points ``(id, x, y)`` inside polygons given as vertices, by a join on grid cells of the edges' rows, then crossings counted.
+    """``(point_id, polygon_id)``: points ``(id, x, y)`` inside polygons given as vertices.
 
-    An edge is sent to the cells of its row range from its polygon's left side to its own right end, so that a
-    point meets only edges that a ray to the right may cross.
+    Points and bounding boxes meet in a grid of several levels. An edge is kept under its polygon in the two rows at most that it
+    covers at the level of its height, and a point looks one row up for each such level: it meets only
+    edges at its own height, however large the polygon is. Crossings of a ray to the right are counted.
     """
     along = Window.partitionBy("id", "elem").orderBy("pos")
     edges = rings.withColumns({"nx": F.lead("x").over(along), "ny": F.lead("y").over(along)}).where("nx is not null and y <> ny").select("id", "x", "y", "nx", "ny")
-    boxes = bounding_boxes(rings).select("id", F.col("x0").alias("left"))
-    rows = F.sequence(F.floor(F.least("y", "ny") / size), F.floor(F.greatest("y", "ny") / size))
-    columns = F.sequence(F.floor(F.col("left") / size), F.floor(F.greatest("x", "nx") / size))
-    dealt = edges.join(boxes, "id").withColumn("gy", F.explode(rows)).withColumn("gx", F.explode(columns))
-    p = points.select(F.col("id").alias("point_id"), F.col("x").alias("px"), F.col("y").alias("py"), F.floor(F.col("x") / size).alias("gx"), F.floor(F.col("y") / size).alias("gy"))
+    edges = edges.withColumn("level", F.greatest(F.lit(0), F.coalesce(F.ceil(F.log2(F.abs(F.col("ny") - F.col("y")) / size)), F.lit(0))).cast("int"))
+    row = lambda y: F.floor(y / (F.lit(size) * F.pow(F.lit(2.0), F.col("level"))))
+    dealt = edges.withColumn("row", F.explode(F.sequence(row(F.least("y", "ny")), row(F.greatest("y", "ny")))))
+    levels = edges.groupBy("id").agg(F.collect_set("level").alias("levels"))
+    boxes = bounding_boxes(rings)
+    dots = points.select("id", F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1"))
+    near = _box_pairs(dots, boxes, size).where(mbr_test("within")).select(F.col("a.id").alias("point_id"), F.col("a.x0").alias("px"), F.col("a.y0").alias("py"), F.col("b.id").alias("id"))
+    asked = near.join(levels, "id").withColumn("level", F.explode("levels")).withColumn("row", row(F.col("py"))).drop("levels")
     crosses = ((F.col("y") > F.col("py")) != (F.col("ny") > F.col("py"))) & (F.col("px") < (F.col("nx") - F.col("x")) * (F.col("py") - F.col("y")) / (F.col("ny") - F.col("y")) + F.col("x"))
-    hits = p.join(dealt, ["gx", "gy"]).where(crosses).groupBy("point_id", F.col("id").alias("polygon_id")).agg(F.count(F.lit(1)).alias("n"))
+    hits = asked.join(dealt, ["id", "level", "row"]).where(crosses).groupBy("point_id", "px", "py", F.col("id").alias("polygon_id")).agg(F.count(F.lit(1)).alias("n"))
     return hits.where("n % 2 = 1").select("point_id", "polygon_id")
 
 

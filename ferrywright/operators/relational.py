@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -114,9 +115,12 @@ def with_rownum(df: DataFrame, order: Sequence[Column], name: str = "rownum") ->
     """Number all rows by an order, without a window over one partition.
 
     Rows are dealt into ranges; counts of the ranges, one number each, are summed
-    before them. Rows that tie on the order are numbered in any order.
+    before them. Rows that tie on the order are numbered in the order of a hash of
+    the row, by which an order of few values is many ranges too; equal rows in any order.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    hashable = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    keys = [*order, F.xxhash64(*hashable)] if hashable else list(order)
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
     # The ranges are used twice and must be the same.
     ranged = checkpoint(ranged)
     counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_low"))
@@ -175,6 +179,25 @@ def pipe_rows(df: DataFrame, rows: Column, name: str = "row") -> DataFrame:
     return df.withColumn(name, F.explode(rows))
 
 
+def pipe_partitions(df: DataFrame, handler: type, returns: str, partition: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """A function that returns rows over the rows of each partition, in order: a Spark table function.
+
+    ``handler`` is a class with ``eval(self, row)`` and, if it likes, ``terminate(self)``, both of which yield tuples of the schema ``returns``. Each
+    partition has an instance of its own, to which rows come one after another, so that it holds what it keeps and no more.
+    """
+    spark = df.sparkSession
+    name = f"pipe_{uuid.uuid4().hex}"
+    spark.udtf.register(name, F.udtf(handler, returnType=returns))
+    df.createOrReplaceTempView(f"{name}_rows")
+    quoted = lambda names: ", ".join(f"`{n}`" for n in names)
+    return spark.sql(f"SELECT * FROM {name}(TABLE({name}_rows) PARTITION BY {quoted(partition)} ORDER BY {quoted(order)})")
+
+
+def category_summary(df: DataFrame, category: str, value: str) -> DataFrame:
+    """``(category, n, least, greatest)``: the aggregate view that is exported as a table."""
+    return df.groupBy(F.col(category).alias("category")).agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("least"), F.max(value).alias("greatest"))
+
+
 # Sets
 
 

@@ -11,19 +11,30 @@ from pyspark.sql import functions as F
 
 
 def where_clauses(tables: Mapping[str, DataFrame], per_table: Mapping[str, str] | None = None, everywhere: str | None = None) -> dict[str, DataFrame]:
-    """Filters by table, and one for all tables that have its columns; sources get them pushed down."""
-    out = {}
+    """Filters by table, and one for all tables that have its columns; sources get them pushed down.
+
+    The common filter is an error if no table has its columns, or if one of them is in no table at all: a misspelt
+    name would else filter nothing, in silence.
+    """
+    known = {c.lower() for df in tables.values() for c in df.columns}
+    out, met = {}, False
     for name, df in tables.items():
         if clause := (per_table or {}).get(name):
             df = df.where(clause)
         if everywhere:
             try:
                 df = df.where(everywhere)
+                met = True
             except AnalysisException as error:
                 # The table lacks a column; any other fault of the clause is the caller's.
-                if error.getCondition() != "UNRESOLVED_COLUMN.WITH_SUGGESTION":
+                if not (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+                    raise
+                missing = error.getMessageParameters().get("objectName", "").replace("`", "").split(".")[-1]
+                if missing.lower() not in known:
                     raise
         out[name] = df
+    if everywhere and tables and not met:
+        raise ValueError(f"no table has all columns of {everywhere!r}")
     return out
 
 

@@ -38,6 +38,97 @@ def fts_search(index: DataFrame, query: str, all_words: bool = True) -> DataFram
     return hits.where(F.col("_w") >= (len(wanted) if all_words else 1)).select("id", "rank")
 
 
+def position_index(df: DataFrame, id: str, columns: Sequence[str]) -> DataFrame:
+    """``(word, id, n, positions)``: an inverted index with the sorted places of each word in a row's columns, one behind the other."""
+    text = F.concat_ws(" ", *columns)
+    places = df.select(F.col(id).alias("id"), F.posexplode(words(text)).alias("position", "word"))
+    return places.groupBy("word", "id").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("position")).alias("positions"))
+
+
+def _ranked_words(index: DataFrame, wanted: Column, total: int) -> DataFrame:
+    """Postings of the wanted words with ``weight``: how often the row has the word, times the square of its rarity."""
+    hits = index.where(wanted)
+    held = hits.groupBy("word").agg(F.count(F.lit(1)).alias("_held"))
+    # A word that all rows have is nearly, not quite, without weight.
+    rarity = F.when(F.col("_held") >= total, F.log10(F.lit(1.0001))).otherwise(F.log10(F.lit(float(total)) / F.col("_held")))
+    # A row per word of the query, or per word that one of its prefixes has.
+    return hits.join(held, "word").withColumn("weight", F.col("n") * rarity * rarity)
+
+
+def _plain(spark, texts: Sequence[str]) -> list[list[str]]:
+    """The words of query parts, folded as the index folds its texts."""
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", words(F.col("t")).alias("w")).collect() if texts else []
+    found = {r.i: r.w for r in rows}
+    return [found[i] for i in range(len(texts))]
+
+
+def match_natural(index: DataFrame, query: str, total: int) -> DataFrame:
+    """``MATCH .. AGAINST (query)``: ``(id, rank)`` of the rows that have any of the words; ``total`` is the number of rows indexed."""
+    wanted = sorted(set(_plain(index.sparkSession, [query])[0]))
+    return _ranked_words(index, F.col("word").isin(*wanted), total).groupBy("id").agg(F.sum("weight").alias("rank"))
+
+
+def match_boolean(index: DataFrame, query: str, total: int) -> DataFrame:
+    """``MATCH .. AGAINST (query IN BOOLEAN MODE)``: ``(id, rank)``.
+
+    ``+part`` must be there and ``-part`` must not, other parts only add to the rank; without any ``+part`` one of them must be there. A part is a word, ``word*``
+    for a beginning, or ``"some words"`` for a phrase, which is found by the places of its words. A query of nothing but ``-part`` finds nothing.
+    """
+    import re
+
+    found = re.findall(r'([+-]?)(?:"([^"]*)"|([^\s"]+))', query)
+    folded = _plain(index.sparkSession, [phrase or word for _, phrase, word in found])
+    parts = []
+    for (sign, phrase, word), own in zip(found, folded, strict=True):
+        if own:
+            # A word with signs inside is read as a phrase of its pieces.
+            parts.append((sign, own, bool(word) and word.endswith("*") and len(own) == 1))
+    if not any(sign != "-" for sign, _, _ in parts):
+        return index.select("id", F.lit(0.0).alias("rank")).limit(0)
+    single = sorted({w for _, own, prefix in parts if not prefix for w in own})
+    heads = sorted({own[0] for _, own, prefix in parts if prefix})
+    wanted = F.col("word").isin(*single) if single else F.lit(False)
+    for head in heads:
+        wanted = wanted | F.col("word").startswith(head)
+    postings = _ranked_words(index, wanted, total)
+    columns = {f"p_{i}": F.max(F.when(F.col("word") == w, F.col("positions"))) for i, w in enumerate(single)}
+    columns |= {f"w_{i}": F.coalesce(F.sum(F.when(F.col("word") == w, F.col("weight"))), F.lit(0.0)) for i, w in enumerate(single)}
+    columns |= {f"h_{i}": F.sum(F.when(F.col("word").startswith(head), F.col("weight"))) for i, head in enumerate(heads)}
+    # A row per id: as many places as the query has words.
+    rows = postings.groupBy("id").agg(*[c.alias(n) for n, c in columns.items()])
+
+    def moved(places: Column, step: int) -> Column:
+        return F.transform(places, lambda at: at - step)
+
+    def has(own: list[str], prefix: bool) -> Column:
+        if prefix:
+            return F.col(f"h_{heads.index(own[0])}").isNotNull()
+        starts = F.col(f"p_{single.index(own[0])}")
+        for step, w in enumerate(own[1:], 1):
+            starts = F.array_intersect(starts, moved(F.col(f"p_{single.index(w)}"), step))
+        return F.coalesce(F.size(starts) > 0, F.lit(False))
+
+    def weight(own: list[str], prefix: bool) -> Column:
+        total_weight = F.col(f"h_{heads.index(own[0])}") if prefix else sum((F.col(f"w_{single.index(w)}") for w in own), F.lit(0.0))
+        return F.when(has(own, prefix), total_weight).otherwise(0.0)
+
+    must = [has(own, prefix) for sign, own, prefix in parts if sign == "+"]
+    never = [has(own, prefix) for sign, own, prefix in parts if sign == "-"]
+    any_of = [has(own, prefix) for sign, own, prefix in parts if sign == ""]
+    test = F.lit(True)
+    for c in must:
+        test = test & c
+    for c in never:
+        test = test & ~c
+    if not must:
+        some = F.lit(False)
+        for c in any_of:
+            some = some | c
+        test = test & some
+    rank = sum((weight(own, prefix) for sign, own, prefix in parts if sign != "-"), F.lit(0.0))
+    return rows.where(test).select("id", rank.alias("rank"))
+
+
 def _padded(column: Column) -> Column:
     """A text as trigrams see it: without accents, two spaces in front and one behind."""
     return F.concat(F.lit("  "), unaccent(column), F.lit(" "))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrywright.operators.relational import count_rows
+from ferrywright.scratch import checkpoint
 
 
 def test_count(source: Mapping[str, DataFrame], target: Mapping[str, DataFrame]) -> DataFrame:
@@ -60,6 +61,56 @@ def test_data_unordered(source: DataFrame, target: DataFrame) -> DataFrame:
     return tagged.groupBy(*columns).agg(F.sum("_s").alias("n_source"), F.sum("_t").alias("n_target")).where("n_source <> n_target")
 
 
+def _digit(keys: Sequence[str], level: int, bits: int) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(*keys), level * bits).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+
+
+def _differing(source: DataFrame, target: DataFrame, buckets: Mapping[str, Column]) -> DataFrame:
+    """The buckets whose multisets of rows differ, by counts and sums of row hashes: one aggregate over both sides, combined before it is shuffled."""
+    columns = source.columns
+    # A hash passes over nulls, so where they stand is hashed too.
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
+    h = F.xxhash64(*columns, nulls)
+    parts = [df.select(*[b.alias(n) for n, b in buckets.items()], F.lit(sign).cast("long").alias("_n"), (h.bitwiseAND(F.lit((1 << 32) - 1)) * sign).alias("_low"), (F.shiftrightunsigned(h, 32) * sign).alias("_high")) for df, sign in ((source, 1), (target, -1))]
+    sums = parts[0].unionByName(parts[1]).groupBy(*buckets).agg(F.sum("_n").alias("_n"), F.sum("_low").alias("_low"), F.sum("_high").alias("_high"))
+    return sums.where("_n <> 0 or _low <> 0 or _high <> 0").select(*buckets)
+
+
+def narrow_to_differences(source: DataFrame, target: DataFrame, keys: Sequence[str] = (), levels: int = 2, bits: int = 12, broadcast_rows: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
+    """Both sides without the buckets in which they are equal: a tree of digests, descended only where it differs.
+
+    Rows are dealt into ``2 ** bits`` buckets by a hash of their keys (all columns without keys), and the buckets'
+    digests are compared; rows of those that differ are dealt again, by further bits of the hash. Equal tables cost one aggregate. What
+    is left is shuffled or compared by the caller. A list of differing buckets is broadcast if it has at most ``broadcast_rows``
+    rows, else joined; where half of the first buckets differ the tables are given back whole.
+    """
+    target = target.select(*source.columns)
+    by = list(keys or source.columns)
+    sides = [source, target]
+    for level in range(levels):
+        buckets = {f"_b{i}": _digit(by, i, bits) for i in range(level + 1)}
+        found = checkpoint(_differing(*sides, buckets))
+        n = found.count()
+        if not level and 2 * n > 1 << bits:
+            return source, target
+        named = found.select(*[F.col(c).alias(f"{c}_") for c in buckets])
+        if n <= broadcast_rows:
+            named = F.broadcast(named)
+        match = [digit == F.col(f"{c}_") for c, digit in buckets.items()]
+        sides = [df.join(named, match, "left_semi") for df in (source, target)]
+    return sides[0], sides[1]
+
+
+def test_data_tree(source: DataFrame, target: DataFrame, keys: Sequence[str], max_errors: int = 0) -> DataFrame:
+    """:func:`test_data` of all rows, of which only those in differing buckets of keys are joined."""
+    return test_data(*narrow_to_differences(source, target, keys), keys, 0, max_errors)
+
+
+def test_data_unordered_tree(source: DataFrame, target: DataFrame) -> DataFrame:
+    """:func:`test_data_unordered`, of which only rows in differing buckets are shuffled."""
+    return test_data_unordered(*narrow_to_differences(source, target))
+
+
 def test_sequences(source: DataFrame, target: DataFrame) -> DataFrame:
     """Sequences by lower-case name whose last numbers differ."""
     s = source.select(F.lower("name").alias("name"), F.col("last_number").alias("source_value"))

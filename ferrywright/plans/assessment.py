@@ -36,7 +36,7 @@ ORACLE_RULES = [
     ("PLVDATE", 2, "PLVDATE"), ("PLVSTR", 2, "PLVSTR"), ("PLVCHR", 2, "PLVCHR"), ("PLVSUBST", 2, "PLVSUBST"), ("PLVLEX", 2, "PLVLEX"), ("TG_OP", 0, r"\b(INSERTING|DELETING|UPDATING)\b"), ("CURSOR", 1, r"REF\s*CURSOR"), ("ORA_ROWSCN", 3, "ORA_ROWSCN"),
     ("SAVEPOINT", 1, "SAVEPOINT"), ("DBLINK", 1, r"(FROM|EXEC)((?!WHERE).)*\b[\w_]+@[\w_]+\b"), ("ISOPEN", 1, r"%ISOPEN\b"), ("ROWCOUNT", 1, r"%ROWCOUNT\b"), ("SDO_", 3, r"SDO_\w"), ("PRAGMA", 3, r"PRAGMA(?!\s+(?:RESTRICT_REFERENCES|SERIALLY_REUSABLE|INLINE))"),
     ("MDSYS", 1, r"MDSYS\.(?!\"*SDO_)"), ("MERGE INTO", 3, r"MERGE\sINTO"), ("CONTAINS", 1, r"\bCONTAINS\("), ("SCORE", 1, r"\bSCORE\((?:.*)?\bCONTAINS\("), ("FUZZY", 1, r"CONTAINS\((?:.*)?\bFUZZY\("), ("NEAR", 1, r"CONTAINS\((?:.*)?\bNEAR\("),
-    ("TO_CHAR", 0.1, r"TO_CHAR\([^,)]+\)"), ("TO_NCHAR", 0.1, r"TO_NCHAR\([^,)]+\)"), ("ANYDATA", 2, r"\s+ANYDATA"), ("CONCAT", 0.1, r"\|\|"), ("TIMEZONE", 1, r"TIMEZONE_(REGION|ABBR)"), ("JSON", 3, r"IS\s+(NOT)?\s*JSON"), ("TO_CLOB", 0.1, r"TO_CLOB\([^,)]+\)"),
+    ("TO_CHAR", 0.1, r"TO_CHAR\([^,)]+\)"), ("TO_NCHAR", 0.1, r"TO_NCHAR\([^,)]+\)"), ("ANYDATA", 2, r"\sANYDATA"), ("CONCAT", 0.1, r"\|\|"), ("TIMEZONE", 1, r"TIMEZONE_(REGION|ABBR)"), ("JSON", 3, r"IS\s+(NOT)?\s*JSON"), ("TO_CLOB", 0.1, r"TO_CLOB\([^,)]+\)"),
     ("ADD CONSTRAINT", 3, "ADD CONSTRAINT"), ("'SSSSS'", 2, r",\s*'SSSSS'\s*\)"), ("'J'", 2, r",\s*'J'\s*\)"), ("WHEN OTHER", 10, r"WHEN\s+OTHERS?\s+THEN"),
 ]
 # Methods of XML types, three each.
@@ -56,9 +56,9 @@ MASTER_POS_WAIT MATCH OLD_PASSWORD PERIOD_ADD PERIOD_DIFF RANDOM_BYTES ROW_COUNT
 # Difficulties of T-SQL code, and its functions without a translation, two each.
 TSQL_RULES = [
     ("ARRAY_AGG_DISTINCT", 1, r"(ARRAY_AGG|GROUP_CONCAT)\(\s*DISTINCT"), ("FOREIGN_OBJECT", 6, r"\b[a-z0-9_$]+\.[a-z0-9_$]+\.[a-z0-9_$]+\b"), ("SYS_OBJECT", 6, r"\b(master|model|msdb|tempdb)\.\b"), ("OBJECT_ID", 2, r"\bOBJECT_ID\s*\("),
-    ("SYS_OBJECT", 6, r"[\s,]\s*sys[a-z]+"), ("GLOBAL_TEMP_TABLE", 2, r"(?<![\w#])##[a-z0-9_$]+\b"), ("INTO_TEMP_TABLE", 1, r"(?<!INSERT)\s+INTO\s+#+[a-z0-9_$]+\b"), ("SELECT_TOP", 0.2, r"\bSELECT\s+TOP\s+\d+\b"), ("COLLATE", 0.2, r"\sCOLLATE\s"),
+    ("SYS_OBJECT", 6, r"[\s,]sys[a-z]+"), ("GLOBAL_TEMP_TABLE", 2, r"(?<![\w#])##[a-z0-9_$]+\b"), ("INTO_TEMP_TABLE", 1, r"(?<!INSERT)\sINTO\s+#+[a-z0-9_$]+\b"), ("SELECT_TOP", 0.2, r"\bSELECT\s+TOP\s+\d+\b"), ("COLLATE", 0.2, r"\sCOLLATE\s"),
     ("RETURNS_TABLE", 1, r"\bRETURNS\s+TABLE\s"), ("TODATETIMEOFFSET", 3, r"\bTODATETIMEOFFSET\s*\("), ("CURSOR", 0.2, r"\bCURSOR\s*\("), ("GLOBAL_VARIABLE", 1, r"(?<![\w@])@@[a-z0-9_$]+"), ("GLOBAL_VARIABLE", -1, r"(?<![\w@])@@(ROWCOUNT|VERSION|LANGUAGE)"),
-    ("PIVOT", 12, r"\s+(UNPIVOT|PIVOT)\s*"), ("TRY_CATCH", 3, r"\bBEGIN\s+TRY\s"), ("SP_FCT", 3, r"EXEC.*(\.|\s)SP_[A-Z_]+\b"), ("XML_FCT", 3, r"\.(value|nodes|query|exists|modify)\s*\("), ("FOR_XML", 6, r"\bFOR\s+XML\b"), ("INTERNAL", 100, r"\s+internal\."),
+    ("PIVOT", 12, r"\s(UNPIVOT|PIVOT)\s*"), ("TRY_CATCH", 3, r"\bBEGIN\s+TRY\s"), ("SP_FCT", 3, r"EXEC.*(\.|\s)SP_[A-Z_]+\b"), ("XML_FCT", 3, r"\.(value|nodes|query|exists|modify)\s*\("), ("FOR_XML", 6, r"\bFOR\s+XML\b"), ("INTERNAL", 100, r"\sinternal\."),
 ]
 TSQL_FUNCTIONS = """ATN2 CHARINDEX CONVERT DATEADD DATEDIFF DATEFROMPARTS DATENAME DATEPART DAY ERROR_LINE ERROR_MESSAGE ERROR_NUMBER ERROR_PROCEDURE ERROR_SEVERITY ERROR_STATE GETDATE GETUTCDATE IIF ISDATE ISNULL ISNUMERIC MONTH NCHAR NULLIF
 PATINDEX PRINT RAISERROR QUOTENAME RAND REPLICATE SESSIONPROPERTY SOUNDEX SPACE SQUARE STR STUFF SYSDATETIME SYSTEM_USER UNICODE YEAR""".split()
@@ -67,6 +67,18 @@ DIALECTS = {
     "mysql": (MYSQL_RULES, [(f, 2, rf"\b{f}\b") for f in MYSQL_FUNCTIONS]),
     "tsql": (TSQL_RULES, [(f, 2, rf"\b{f}\s*\(") for f in TSQL_FUNCTIONS]),
 }
+#: Patterns in which something is sought anywhere behind something else, by what they mean: (parts of the text, head, last sign of the head, tail,
+#: a word of the tail). A greedy search takes the first head to the last tail of a part, so a part counts once; sought
+#: as they stand, each head would scan the rest of a long text again.
+AHEAD = {
+    r"FROM[^;]*\bTABLE\s*\(": (";", "FROM", "M", r"\bTABLE\s*\(", "TABLE"),
+    r"(FROM|EXEC)((?!WHERE).)*\b[\w_]+@[\w_]+\b": ("(?i)WHERE", "(?:FROM|EXEC)", "M", r"\b\w+@\w+\b", "@"),
+    r"\bSCORE\((?:.*)?\bCONTAINS\(": (None, r"\bSCORE\(", "(", r"\bCONTAINS\(", "CONTAINS("),
+    r"CONTAINS\((?:.*)?\bFUZZY\(": (None, r"CONTAINS\(", "(", r"\bFUZZY\(", "FUZZY("),
+    r"CONTAINS\((?:.*)?\bNEAR\(": (None, r"CONTAINS\(", "(", r"\bNEAR\(", "NEAR("),
+    r"\bMATCH.*AGAINST\b": (None, r"\bMATCH", "H", r"AGAINST\b", "AGAINST"),
+    r"EXEC.*(\.|\s)SP_[A-Z_]+\b": (None, "EXEC", "C", r"(?:\.|\s)SP_[A-Z_]+\b", "SP_"),
+}
 # Where the reference's counting departs from what its rules mean: rules whose weight or pattern differs, and rules
 # that are counted once more.
 COMPAT_CHANGED = {("oracle", "MERGE INTO"): (0, None), ("oracle", "WHEN OTHER"): (10, r"WHEN\s+OTHER\s+THEN"), ("mysql", "JSON"): (0, None)}
@@ -92,6 +104,14 @@ def _literal(pattern: str) -> str | None:
     return word if len(word) > 1 else None
 
 
+def _count_ahead(text: Column, upper: Column, pattern: str) -> Column:
+    """How many parts of a text have the head of such a pattern before its tail: a few passes over the text, however many heads it has."""
+    parts, head, last, tail, word = AHEAD[pattern]
+    pieces = F.split(text, parts) if parts else F.array(text)
+    rest = lambda piece: F.concat(F.lit(last), F.regexp_extract(piece, f"(?is){head}(.*)$", 1))
+    return F.when(F.contains(upper, F.lit(word)), F.size(F.filter(pieces, lambda piece: rest(piece).rlike(f"(?is){tail}"))).cast("double")).otherwise(F.lit(0.0))
+
+
 def score_details(code: DataFrame, dialect: str = "oracle", by: Sequence[str] = ("db", "object_type", "name"), compat: bool = False) -> DataFrame:
     """``(*by, keyword, n, cost)``: what each piece of code has of each difficulty, with TEST and SIZE.
 
@@ -111,7 +131,10 @@ def score_details(code: DataFrame, dialect: str = "oracle", by: Sequence[str] =
         word = _literal(pattern)
         return count if word is None else F.when(F.contains("_upper", F.lit(word)), count).otherwise(F.lit(0.0))
 
-    counted = [F.struct(F.lit(k).alias("keyword"), gated(p, F.regexp_count(text, F.lit(f"(?is){p}")).cast("double")).alias("n"), F.lit(float(w)).alias("weight")) for k, w, p in rules]
+    def counts(pattern: str) -> Column:
+        return _count_ahead(text, F.col("_upper"), pattern) if pattern in AHEAD else F.regexp_count(text, F.lit(f"(?is){pattern}")).cast("double")
+
+    counted = [F.struct(F.lit(k).alias("keyword"), gated(p, counts(p)).alias("n"), F.lit(float(w)).alias("weight")) for k, w, p in rules]
     present = [F.struct(F.lit(k).alias("keyword"), gated(p, text.rlike(f"(?i){p}").cast("double")).alias("n"), F.lit(float(w)).alias("weight")) for k, w, p in functions]
     tested = (~F.col("_type").isin(*UNTESTED)).cast("double")
     size = F.greatest(F.floor(F.length(text) / SIZE_UNIT[dialect]), F.lit(1)).cast("double") * tested
@@ -151,7 +174,7 @@ def migration_level(days: Column, code_cost: Column, has_code: Column, complex_c
 
 
 def assessment_report(catalog: DataFrame, code: DataFrame | None, dialect: str = "oracle", by: Sequence[str] = (), unit_minutes: float = UNIT_MINUTES, details: DataFrame | None = None) -> DataFrame:
-    """``(*by, object_type, n_objects, n_invalid, cost, days)`` with a total (object_type null) per group.
+    """``(*by, object_type, n_objects, n_invalid, cost, days)`` with a total (object_type null) per group; see :func:`with_comments` for the remarks.
 
     ``details``, of :func:`score_details`, spares another pass over the code.
     """
@@ -164,6 +187,20 @@ def assessment_report(catalog: DataFrame, code: DataFrame | None, dialect: str =
     return rows.where("_g < 2").drop("_g").withColumn("days", F.round(to_days(F.col("cost"), unit_minutes), 4))
 
 
+def with_comments(report: DataFrame, details: DataFrame, by: Sequence[str] = (), most: int = 5) -> DataFrame:
+    """A report with ``comment``: the difficulties that cost most of each type, with their numbers, the dearest first, ties by name.
+
+    A type has at most as many keywords as there are rules, so no list is long.
+    """
+    keys = [*by, "object_type"]
+    totals = details.where("keyword not in ('TEST', 'SIZE') and cost > 0").groupBy(*keys, "keyword").agg(F.sum("n").alias("n"), F.round(F.sum("cost"), 6).alias("cost"))
+    order = F.array_sort(F.collect_list(F.struct((-F.col("cost")).alias("c"), "keyword", "n")))
+    named = totals.groupBy(*keys).agg(F.array_join(F.transform(F.slice(order, 1, most), lambda x: F.concat(x["keyword"], F.lit(": "), x["n"].cast("string"))), ", ").alias("comment"))
+    r, c = report.alias("r"), named.alias("c")
+    match = [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
+    return r.join(c, match, "left").select("r.*", F.coalesce("c.comment", F.lit("")).alias("comment"))
+
+
 def assess_many(catalog: DataFrame, code: DataFrame, dialect: str = "oracle", limit: float = HUMAN_DAYS_LIMIT) -> DataFrame:
     """One row per database: objects, cost, days and level."""
     # Sums by type and keyword serve both, and are few.

@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrywright.plans import queries_checks, queries_more, queries_movement, queries_relational
+from ferrywright.plans import queries_checks, queries_mechanisms, queries_more, queries_movement, queries_relational, queries_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _modules() -> list:
-    return [queries_movement, queries_relational, queries_checks, queries_more]
+    return [queries_movement, queries_relational, queries_checks, queries_more, queries_mechanisms, queries_rows]
 
 
 def queries() -> dict[str, Query]:
