@@ -160,7 +160,7 @@ def l8_collations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _STYLES = {1: "%m/%d/%y", 2: "%y.%m.%d", 3: "%d/%m/%y", 4: "%d.%m.%y", 5: "%d-%m-%y", 6: "%d %b %y", 7: "%b %d, %y", 8: "%H:%M:%S", 10: "%m-%d-%y", 11: "%y/%m/%d", 12: "%y%m%d", 14: "%H:%M:%S:%g", 20: "%Y-%m-%d %H:%M:%S", 101: "%m/%d/%Y", 106: "%d %b %Y", 111: "%Y/%m/%d", 112: "%Y%m%d", 120: "%Y-%m-%d %H:%M:%S"}
 _BOX = "(({k} * 7) % 1000 / 10.0)::DOUBLE AS x0, (({k} * 13) % 1000 / 10.0)::DOUBLE AS y0"
-_WORDS = "WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS w FROM documents), p AS (SELECT doc_id, unnest(w) AS w FROM d), h AS (SELECT w, doc_id, count(*) AS n FROM p GROUP BY 1, 2), c AS (SELECT w, count(*) AS df, (SELECT count(*) FROM documents) AS total FROM h GROUP BY 1), r AS (SELECT h.w, doc_id, n * CASE WHEN df = total THEN log10(1.0001) ELSE log10(total / df::DOUBLE) END ** 2 AS x FROM h JOIN c USING (w))"
+_WORDS = "WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(strip_accents(lower({text})), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS w FROM documents), p AS (SELECT doc_id, unnest(w) AS w FROM d), h AS (SELECT w, doc_id, count(*) AS n FROM p GROUP BY 1, 2), c AS (SELECT w, count(*) AS df, (SELECT count(*) FROM documents) AS total FROM h GROUP BY 1), r AS (SELECT h.w, doc_id, n * CASE WHEN df = total THEN log10(1.0001) ELSE log10(total / df::DOUBLE) END ** 2 AS x FROM h JOIN c USING (w))"
 
 QUERIES = {
     "s2_jdbc_round_trip": (s2_jdbc_round_trip, "SELECT CASE WHEN o_orderkey % 100 <> 7 THEN o_orderkey END AS o_orderkey, o_custkey, o_totalprice FROM orders"),
