@@ -33,11 +33,15 @@ WIDE_IP = r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa
 WIDE_CARD = r"(?<![0-9])(?<![0-9][\x20.-])[0-9]{3,4}(?:[\x20.-][0-9]{4,6}){2,4}+(?![\x20.-]?[0-9])"
 WIDE_PHONE = r"(?<![0-9+])(?<![0-9][\x20().-])(?:00[0-9]{1,3}[\x20.-])?(?:\([0-9]{2,5}\)\x20?|[0-9]{2,5}[\x20.-])[0-9]{3,4}[\x20.-][0-9]{3,5}(?![\x20.-]?[0-9])"
 
-#: Gazetteers. General top-level domains (with any country's two letters), ranges of card issuers, international dialling codes.
+#: Gazetteers. General top-level domains, two-letter country endings by their first letter, ranges of card issuers (four digits at
+#: least are at hand), and international dialling codes by zone.
 GENERAL_DOMAINS = "com org net edu gov mil int info biz name pro aero coop museum jobs mobi travel cat tel asia post xyz online site shop store app dev cloud tech blog news email group team world life live media agency company".split()
-DOMAINS = rf"(?i)[.\x20](?:[a-z]{{2}}|{'|'.join(GENERAL_DOMAINS)})$"
-ISSUERS = r"^(?:4|5[1-5]|222[1-9]|22[3-9]|2[3-6]|27[01]|2720|3[47]|36|38|39|30[0-5]|352[89]|35[3-8]|6011|64[4-9]|65|62|50|5[6-9])"
-DIALLING = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98 212 213 216 218 351 352 353 354 355 356 357 358 359 370 371 372 373 374 375 380 381 385 386 387 420 421 852 886 971 972 966".split()
+COUNTRY_DOMAINS = """a[c-gil-oq-uwxz] b[abd-jl-oq-tvwyz] c[acdf-ik-oru-z] d[ejkmoz] e[ceghr-u] f[ijkmor] g[abd-ilmnp-uwy] h[kmnrtu] i[del-oq-t] j[emop] k[eghimnprwyz] l[abcikr-vy] m[ac-hk-z]
+n[acefgilopruz] om p[ae-hk-nrstwy] qa r[eosuw] s[a-eg-or-vx-z] t[cdfghj-ortvwz] u[agksyz] v[aceginu] w[fs] y[et] z[amw]""".split()
+DOMAINS = rf"(?i)[.\x20](?:{'|'.join(COUNTRY_DOMAINS + GENERAL_DOMAINS)})$"
+ISSUERS = r"^(?:4|5[1-5]|222[1-9]|22[3-9]|2[3-6]|27[01]|2720|220[0-4]|3[47]|36|38|39|30[0-5]|3095|352[89]|35[3-8]|6011|64[4-9]|65|62|8[12]|508|50(?:18|20|38|6[01])|5893|6304|6759|676[1-3])"
+DIALLING = """1 7 2[07] 21[12368] 22[0-9] 23[0-9] 24[0-9] 25[0-8] 26[0-9] 29[01789] 3[0-469] 35[0-9] 37[0-9] 38[0-35-79] 4[013-9] 42[013] 5[1-8] 50[0-9] 59[0-9]
+6[0-6] 67[02-9] 68[0-35-9] 69[0-2] 8[1246] 85[02356] 87[08] 88[0-368] 9[0-58] 96[0-8] 97[0-79] 99[2-68]""".split()
 AREAS = rf"^(?:00(?:{'|'.join(DIALLING)})[\x20.-]|\(0[1-9]|0[1-9]|\([2-9][0-9]{{2}}\)|[2-9][0-9]{{2}}[\x20.-][2-9])"
 CUES = {
     "email": r"(?i)(?:e-?mail|mail|contact|write|reach|correo|courriel)\W*(?:\w+\W+){0,3}$",
