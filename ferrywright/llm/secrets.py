@@ -9,8 +9,7 @@ trigram scans all documents.
 
 from __future__ import annotations
 
-import re._constants as sre
-import re._parser as sre_parser
+import re
 from dataclasses import dataclass
 from itertools import product
 
@@ -27,7 +26,7 @@ MAX_STRINGS = 32
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` is a regex that Java's engine and Python's parser both read; ``group`` must have ``least`` characters."""
+    """``pattern`` is a regex that Java's engine reads and :func:`parse_pattern` too; ``group`` must have ``least`` characters."""
 
     kind: str
     pattern: str
@@ -51,10 +50,93 @@ RULES = (
 KINDS = [r.kind for r in RULES]
 
 
-_REPEATS = (sre.MAX_REPEAT, sre.MIN_REPEAT, sre.POSSESSIVE_REPEAT)
+def parse_pattern(pattern: str) -> list[tuple]:
+    """A rule's regex as nodes: ``("char", characters)``, None for too many to list; ``("around",)`` for what has no width; ``("repeat", least, most, nodes)``; ``("branch", [nodes, ..])``.
 
-
-def _strings(node) -> tuple[set[str] | None, frozenset]:
+    What rules may use: characters and escapes, sets, groups of all kinds, alternatives, and repeats, lazy or
+    possessive ones like greedy ones, as a query needs no more than what matches can hold. A back-reference is an error.
+    """
+    at = 0
+
+    def escape() -> frozenset | None:
+        nonlocal at
+        c = pattern[at]
+        at += 1
+        if c == "x":
+            at += 2
+            return frozenset(chr(int(pattern[at - 2 : at], 16)))
+        if c.isdigit():
+            raise ValueError(f"{pattern!r} has a back-reference")
+        named = {"n": "\n", "t": "\t", "r": "\r", "f": "\f"}
+        return frozenset(named.get(c, c)) if c in named or not c.isalpha() else None
+
+    def one_of() -> frozenset | None:
+        nonlocal at
+        found: set[str] | None = set()
+        if pattern[at] == "^":
+            found, at = None, at + 1
+        first = True
+        while first or pattern[at] != "]":
+            first = False
+            c = pattern[at]
+            at += 1
+            got = escape() if c == "\\" else frozenset(c)
+            if pattern[at] == "-" and pattern[at + 1] != "]":
+                at += 1
+                c = pattern[at]
+                at += 1
+                high = escape() if c == "\\" else frozenset(c)
+                got = frozenset(map(chr, range(ord(min(got)), ord(min(high)) + 1))) if got and high else None
+            found = found | got if found is not None and got is not None else None
+        at += 1
+        return frozenset(found) if found is not None else None
+
+    def alternatives() -> list[tuple]:
+        nonlocal at
+        branches, nodes = [], []
+        while at < len(pattern) and pattern[at] != ")":
+            c = pattern[at]
+            at += 1
+            if c == "|":
+                branches.append(nodes)
+                nodes = []
+                continue
+            if c == "(":
+                around = False
+                if pattern.startswith("?", at):
+                    opened = re.compile(r"\?(?:(:|>|[a-zA-Z-]+:|<[A-Za-z]\w*>|P<\w+>)|(=|!|<=|<!))").match(pattern, at)
+                    if not opened:
+                        raise ValueError(f"{pattern!r} has a group of a kind that rules do not use")
+                    around, at = bool(opened[2]), opened.end()
+                inner = alternatives()
+                if at == len(pattern):
+                    raise ValueError(f"{pattern!r} leaves a group open")
+                at += 1
+                node = ("around",) if around else ("branch", [inner])
+            elif c == "[":
+                node = ("char", one_of())
+            elif c == "\\":
+                node = ("around",) if pattern[at] in "bBAzZG" else ("char", escape())
+                at += pattern[at] in "bBAzZG" and node == ("around",)
+            elif c in "^$":
+                node = ("around",)
+            else:
+                node = ("char", None if c == "." else frozenset(c))
+            counted = re.compile(r"(?:([?*+])|\{(\d+)(,?)(\d*)\})[+?]?").match(pattern, at)
+            if counted:
+                at = counted.end()
+                least, most = {"?": (0, 1), "*": (0, None), "+": (1, None)}[counted[1]] if counted[1] else (int(counted[2]), int(counted[4]) if counted[4] else None if counted[3] else int(counted[2]))
+                node = ("repeat", least, most, [node])
+            nodes.append(node)
+        return [("branch", [*branches, nodes])] if branches else nodes
+
+    found = alternatives()
+    if at < len(pattern):
+        raise ValueError(f"{pattern!r} closes a group that it does not open")
+    return found
+
+
+def _strings(nodes: list[tuple]) -> tuple[set[str] | None, frozenset]:
     """Of a parsed regex: the strings it can match, None for too many, and the Boolean query that all matches meet.
 
     A query is a frozenset of alternatives, each a frozenset of trigrams that occur
@@ -72,34 +154,27 @@ def _strings(node) -> tuple[set[str] | None, frozenset]:
         alternatives = {frozenset(s[i : i + 3] for i in range(len(s) - 2)) for s in found}
         return anything if frozenset() in alternatives else frozenset(alternatives)
 
-    node = list(node)
-    for at, (op, value) in enumerate(node):
-        if op is sre.LITERAL:
-            part, inner = {chr(value).lower()}, anything
-        elif op is sre.IN and all(o is sre.LITERAL for o, _ in value) and len(value) <= MAX_STRINGS:
-            part, inner = {chr(v).lower() for _, v in value}, anything
-        elif op in (sre.ASSERT, sre.ASSERT_NOT, sre.AT):
+    for at, (op, *value) in enumerate(nodes):
+        if op == "char":
+            few = value[0] is not None and len(value[0]) <= MAX_STRINGS
+            part, inner = ({c.lower() for c in value[0]} if few else None), anything
+        elif op == "around":
             # What stands around a match is not part of it.
             part, inner = {""}, anything
-        elif op is sre.ATOMIC_GROUP:
-            part, inner = _strings(value)
-        elif op is sre.SUBPATTERN:
-            part, inner = _strings(value[3])
-        elif op is sre.BRANCH:
-            branches = [_strings(b) for b in value[1]]
+        elif op == "branch":
+            branches = [_strings(b) for b in value[0]]
             part = set().union(*(b[0] for b in branches)) if all(b[0] is not None for b in branches) else None
             inner = frozenset().union(*(of_strings(b[0]) if b[0] is not None else b[1] for b in branches))
-            inner = anything if frozenset() in inner else inner
-            if part is not None:
-                inner = anything
-        elif op in _REPEATS and value[:2] == (0, 1):
-            part, inner = _strings(value[2])
-            part, inner = (part | {""} if part is not None else None), anything
-        elif op in _REPEATS and value[0] >= 1:
-            held, inner = _strings(value[2])
-            part, inner = None, of_strings(held) if held is not None else inner
+            inner = anything if frozenset() in inner or part is not None else inner
         else:
-            part, inner = None, anything
+            least, most, held = value
+            part, inner = _strings(held)
+            if (least, most) == (0, 1):
+                part, inner = (part | {""} if part is not None else None), anything
+            elif least >= 1:
+                part, inner = None, of_strings(part) if part is not None else inner
+            else:
+                part, inner = None, anything
         joined = {a + b for a, b in product(exact, part)} if exact is not None and part is not None else None
         if joined is not None and len(joined) <= MAX_STRINGS:
             exact = joined
@@ -109,7 +184,7 @@ def _strings(node) -> tuple[set[str] | None, frozenset]:
             query = both(query, of_strings(exact))
         query = both(query, inner)
         # From here on strings begin anew: what follows is sought by itself.
-        after, more = _strings(node[at + 1 :])
+        after, more = _strings(nodes[at + 1 :])
         if part is not None:
             query = both(query, of_strings(part))
         query = both(query, both(more, of_strings(after) if after is not None else anything))
@@ -119,7 +194,7 @@ def _strings(node) -> tuple[set[str] | None, frozenset]:
 
 def trigram_query(pattern: str) -> list[list[str]]:
     """Alternatives of trigrams, in lower case, one of which every match of the very regex that verifies holds in full; [] if it has no mandatory trigram."""
-    exact, query = _strings(list(sre_parser.parse(pattern)))
+    exact, query = _strings(parse_pattern(pattern))
     if exact is not None:
         query = frozenset(frozenset(s[i : i + 3] for i in range(len(s) - 2)) for s in exact)
     return [] if frozenset() in query else sorted(sorted(a) for a in query)

@@ -54,6 +54,18 @@ def test_queries(pattern, query):
     assert sorted(map(sorted, secrets.trigram_query(pattern))) == sorted(map(sorted, query))
 
 
+@pytest.mark.parametrize("pattern", ["a(b", "a)b", r"(a)\1", "(?#x)a"])
+def test_patterns_that_rules_do_not_use(pattern):
+    with pytest.raises((ValueError, IndexError)):
+        secrets.parse_pattern(pattern)
+
+
+def test_parsed_sets_and_repeats():
+    assert secrets.parse_pattern(r"[]a-c\-^]") == [("char", frozenset("]abc-^"))] and secrets.parse_pattern("[^a]") == [("char", None)] and secrets.parse_pattern(r"\d.") == [("char", None)] * 2
+    assert secrets.parse_pattern(r"a{2}b{3,}+c{4,5}?\x41*") == [("repeat", 2, 2, [("char", frozenset("a"))]), ("repeat", 3, None, [("char", frozenset("b"))]), ("repeat", 4, 5, [("char", frozenset("c"))]), ("repeat", 0, None, [("char", frozenset("A"))])]
+    assert secrets.parse_pattern(r"^\ba(?<!x)(?i:b|)$") == [("around",), ("around",), ("char", frozenset("a")), ("around",), ("branch", [[("branch", [[("char", frozenset("b"))], []])]]), ("around",)]
+
+
 def test_every_match_meets_its_query():
     rng = random.Random(2)
     shown = {
