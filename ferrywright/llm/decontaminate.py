@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from itertools import repeat
@@ -23,8 +22,8 @@ STRETCH_SEEDS = 8
 #: Scores of the word alignment, and the share of an item's best score from which a document counts as contaminated.
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.4
-#: Items are taken in blocks of at most so many words, each broadcast; the whole corpus meets every block.
-BLOCK_WORDS = 1_000_000
+#: Items are taken in blocks of at most so many words, each broadcast, about 30 bytes a word; the whole corpus meets every block.
+BLOCK_WORDS = 8_000_000
 
 PAIRS = "doc_id long, item_id long, score double, matched long, start_word long, end_word long"
 _TO_SPACE = bytes(c if chr(c).isalnum() and c < 128 or c >= 128 else 32 for c in range(256))
@@ -36,34 +35,39 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class SeedIndex:
-    """The seeds of a block of items, as sorted keys over the block's own word numbers."""
+    """The seeds of a block of items, as sorted keys over the block's own word numbers; arrays throughout, so that a block of millions of words is one broadcast."""
 
     def __init__(self, items: list[tuple[int | None, list[bytes]]], counts: dict[bytes, int] | None = None, n_words: int = 0, n_docs: int = 0):
-        self.items = [(i, w) for i, w in items if w]
+        kept = [(i, w) for i, w in items if w]
+        self.item_ids = [i for i, _ in kept]
         self.vocabulary: dict[bytes, int] = {}
-        self.ids = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in ws], dtype=np.int64) for _, ws in self.items]
+        self.ids = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in ws], dtype=np.int32) for _, ws in kept]
         self.base = len(self.vocabulary) + 1
-        found: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
-        share = {self.vocabulary[w]: n / max(1, n_words) for w, n in (counts or {}).items()}
-        mean_length = n_words / max(1, n_docs)
+        share = np.zeros(len(self.vocabulary))
+        for w, n in (counts or {}).items():
+            share[self.vocabulary[w]] = n / max(1, n_words)
+        found: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = defaultdict(list)
         for k, ids in enumerate(self.ids):
             n = min(SEED_WORDS, len(ids))
-            keys = self.keys(ids, n).tolist()
-            chance = [mean_length * math.prod(share.get(w, 0.0) for w in ids[j : j + n].tolist()) for j in range(len(keys))]
+            keys, chance = self.keys(ids, n), np.full(len(ids) - n + 1, n_words / max(1, n_docs))
+            for j in range(n):
+                chance *= share[ids[j : len(ids) - n + 1 + j]]
             # Seeds with a word that the corpus lacks are in no document.
-            held = [j for j, c in enumerate(chance) if c > 0 or counts is None]
-            for low in range(0, len(held), STRETCH_SEEDS):
-                stretch = held[low : low + STRETCH_SEEDS]
-                # A stretch of common words alone keeps all its seeds.
-                for j in [j for j in stretch if chance[j] <= RARE_SHARE] or stretch:
-                    found[n][keys[j]].append((k, j))
+            held = np.flatnonzero(chance > 0) if counts is not None else np.arange(len(keys))
+            stretch, rare = np.arange(len(held)) // STRETCH_SEEDS, chance[held] <= RARE_SHARE
+            # A stretch of common words alone keeps all its seeds.
+            chosen = held[rare | (np.bincount(stretch, weights=rare) == 0)[stretch]] if len(held) else held
+            found[n].append((keys[chosen], np.full(len(chosen), k, dtype=np.int32), chosen.astype(np.int32)))
         self.tables = {}
-        for n, by_key in found.items():
-            keys = sorted(by_key)
-            hits = [by_key[k] for k in keys]
-            self.tables[n] = (np.array(keys, dtype=np.int64), np.cumsum([0, *map(len, hits)]), np.array([h for hs in hits for h in hs], dtype=np.int64))
+        for n, parts in found.items():
+            keys, items_of, places = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(keys, kind="stable")
+            distinct, first = np.unique(keys[order], return_index=True)
+            if len(distinct):
+                self.tables[n] = (distinct, np.append(first, len(order)), np.stack([items_of, places], axis=1)[order])
 
     def keys(self, ids: np.ndarray, n: int) -> np.ndarray:
+        """Numbers of all runs of n words; of more than two million distinct words they wrap round, and seeds that share one are told apart by the alignment."""
         key = np.zeros(max(0, len(ids) - n + 1), dtype=np.int64)
         for j in range(n):
             key = key * self.base + ids[j : len(ids) - n + 1 + j] + 1
@@ -123,7 +127,7 @@ class SeedIndex:
                 score, matched, start, end = align(item, window)
                 share = score / (MATCH * len(item))
                 if share >= min_score and (best is None or share > best[1]):
-                    best = (self.items[k][0], share, matched, a + start, a + end)
+                    best = (self.item_ids[k], share, matched, a + start, a + end)
             if best:
                 out.append(best)
                 if first_only:
@@ -205,9 +209,9 @@ def word_counts(docs: DataFrame, vocabulary: list[bytes]) -> tuple[dict[bytes, i
 def indexes(docs: DataFrame, benchmark: DataFrame) -> Iterator[SeedIndex]:
     """A seed index per block of items; the rarity of seeds is over all of ``docs``."""
     for block in item_blocks(benchmark):
-        plain = SeedIndex(block)
-        if plain.items:
-            yield SeedIndex(block, *word_counts(docs, list(plain.vocabulary)))
+        words = list(dict.fromkeys(w for _, ws in block for w in ws))
+        if words:
+            yield SeedIndex(block, *word_counts(docs, words))
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:

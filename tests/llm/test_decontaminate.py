@@ -103,3 +103,39 @@ def test_long_items_and_texts_need_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert (score, matched, start, end) == (3000, 1500, 12_000, 13_500) and peak < 20_000_000
+
+
+def plain_seeds(items, counts, n_words, n_docs):
+    """The chosen (item, place) by loops over seeds."""
+    chosen = set()
+    for k, ws in enumerate(items):
+        n = min(dc.SEED_WORDS, len(ws))
+        chance = {}
+        for j in range(len(ws) - n + 1):
+            chance[j] = n_words / n_docs
+            for w in ws[j : j + n]:
+                chance[j] *= counts.get(w, 0) / n_words
+        held = [j for j in chance if chance[j] > 0]
+        for low in range(0, len(held), dc.STRETCH_SEEDS):
+            stretch = held[low : low + dc.STRETCH_SEEDS]
+            chosen |= {(k, j) for j in [j for j in stretch if chance[j] <= dc.RARE_SHARE] or stretch}
+    return chosen
+
+
+def test_seeds_are_those_of_plain_loops():
+    rng = random.Random(6)
+    words = [b"w%d" % i for i in range(40)]
+    items = [[rng.choice(words[: rng.choice([3, 40])]) for _ in range(rng.randint(1, 60))] for _ in range(50)]
+    counts = {w: rng.choice([0, 1, 10, 4000]) for w in words}
+    index = dc.SeedIndex(list(enumerate(items)), {w: counts[w] for w in dict.fromkeys(w for ws in items for w in ws)}, sum(counts.values()), 90)
+    got = {(k, j) for _, _, hits in index.tables.values() for k, j in hits.tolist()}
+    assert got == plain_seeds(items, counts, sum(counts.values()), 90) and got
+
+
+def test_five_million_item_words_are_one_block(spark):
+    rng = np.random.default_rng(1)
+    items = [(i, " ".join(f"w{x}" for x in rng.integers(0, 200_000, 500))) for i in range(10_000)]
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(8)
+    docs = spark.createDataFrame([(7, "some words " + items[4321][1]), (8, "w1 w2 w3 none"), (9, items[5][1][:1800])], "doc_id long, text string")
+    assert len(list(dc.item_blocks(bench))) == 1
+    assert {(r.doc_id, r.item_id) for r in dc.contaminated_pairs(docs, bench).collect()} == {(7, 4321), (9, 5)}
