@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import contextlib
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _own_roots: dict[str, str] = {}
 _staged: dict[str, list[str]] = {}
+_watch = threading.local()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,9 +50,22 @@ def new_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name in the scratch root, remembered for :func:`release`."""
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    for held in getattr(_watch, "lists", ()):
+        held.append(path)
     return path
 
 
+@contextlib.contextmanager
+def staging() -> Iterator[list[str]]:
+    """The paths that this thread makes inside the block."""
+    held: list[str] = []
+    _watch.lists = [*getattr(_watch, "lists", ()), held]
+    try:
+        yield held
+    finally:
+        _watch.lists = [x for x in _watch.lists if x is not held]
+
+
 @contextlib.contextmanager
 def settings(spark: SparkSession, **conf: str):
     """Session settings (dots written as double underscores) that hold inside the block."""
