@@ -10,24 +10,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import wraps
+from threading import get_ident
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ferrywright.llm import common, decontaminate, mixing, quality, simhash, tokens
 
 
-_scratch: list[str] = []
+#: Scratch tables of the stage before, by the thread that runs the stages, so that runs at the same time leave each other's alone.
+_scratch: dict[int, list[str]] = {}
 
 
 def _stage(work: Callable) -> Callable:
-    """A stage that first releases the scratch tables of the stages before it, and no others of the session."""
+    """A stage that first releases the scratch tables of the stage before it in this thread's run, and no others of the session."""
 
     @wraps(work)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        common.release(spark, _scratch)
-        before = set(common.staged_paths(spark))
-        out = work(spark, docs, sf_dir)
-        _scratch[:] = [p for p in common.staged_paths(spark) if p not in before]
+        common.release(spark, _scratch.pop(get_ident(), []))
+        # What this thread stages meanwhile, whatever others do.
+        with common.staging() as staged:
+            out = work(spark, docs, sf_dir)
+        _scratch[get_ident()] = staged
         return out
 
     return run_stage

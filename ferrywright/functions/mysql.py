@@ -211,6 +211,9 @@ def date_add(d: Column, n, unit: str = "DAY") -> Column:
     units = order[order.index(parts[0]) : order.index(parts[1]) + 1]
     sign = -1 if isinstance(n, str) and n.lstrip().startswith("-") else 1
     values = [int(v) * sign for v in re.findall(r"\d+", str(n))]
+    if units == ["YEAR", "MONTH"]:
+        # One step of months, as the end of a shorter month counts once.
+        return F.timestamp_add("MONTH", F.lit(sum(v * m for v, m in zip(values[::-1], (1, 12), strict=False))), d)
     for u, v in zip(units[-len(values) :], values, strict=True):
         d = F.timestamp_add(u, F.lit(v), d)
     return d
@@ -314,8 +317,15 @@ def timestampadd(unit: str, n, d: Column) -> Column:
 
 
 def timestampdiff(unit: str, a: Column, b: Column) -> Column:
-    """Whole elapsed units from a to b."""
-    return F.timestamp_diff(unit, a, b)
+    """Whole elapsed units from a to b; months by calendar fields, less one if the day and time of the month are not reached yet, and quarters and years of these."""
+    size = {"MONTH": 1, "QUARTER": 3, "YEAR": 12}.get(unit.upper())
+    if size is None:
+        return F.timestamp_diff(unit, a, b)
+    number = lambda x: F.year(x) * 12 + F.month(x)
+    within = lambda x: F.date_format(x, "ddHHmmssSSSSSS")
+    short = F.when((b >= a) & (within(b) < within(a)), -1).when((b < a) & (within(b) > within(a)), 1).otherwise(0)
+    months = number(b) - number(a) + short
+    return (F.signum(months) * F.floor(F.abs(months) / size)).cast("long")
 
 
 def format(n: Column, d: int) -> Column:

@@ -69,7 +69,7 @@ DIALECTS = {
 }
 #: Patterns in which something is sought anywhere behind something else, by what they mean: (parts of the text, head, last sign of the head, tail,
 #: a word of the tail). A greedy search takes the first head to the last tail of a part, so a part counts once; sought
-#: as they stand, each head would scan the rest of a long text again.
+#: as they stand, each head would scan the rest of a long text again. (A link with WHERE at the beginning of a name is not seen.)
 AHEAD = {
     r"FROM[^;]*\bTABLE\s*\(": (";", "FROM", "M", r"\bTABLE\s*\(", "TABLE"),
     r"(FROM|EXEC)((?!WHERE).)*\b[\w_]+@[\w_]+\b": ("(?i)WHERE", "(?:FROM|EXEC)", "M", r"\b\w+@\w+\b", "@"),
@@ -109,7 +109,7 @@ def _count_ahead(text: Column, upper: Column, pattern: str) -> Column:
     parts, head, last, tail, word = AHEAD[pattern]
     pieces = F.split(text, parts) if parts else F.array(text)
     rest = lambda piece: F.concat(F.lit(last), F.regexp_extract(piece, f"(?is){head}(.*)$", 1))
-    return F.when(F.contains(upper, F.lit(word)), F.size(F.filter(pieces, lambda piece: rest(piece).rlike(f"(?is){tail}"))).cast("double")).otherwise(F.lit(0.0))
+    return F.when(F.contains(upper, F.lit(word)), F.size(F.filter(pieces, lambda piece: rest(piece).rlike(f"(?is)(?<=.){tail}"))).cast("double")).otherwise(F.lit(0.0))
 
 
 def score_details(code: DataFrame, dialect: str = "oracle", by: Sequence[str] = ("db", "object_type", "name"), compat: bool = False) -> DataFrame:

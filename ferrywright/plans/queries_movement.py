@@ -101,8 +101,10 @@ def p22_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p20_unaccent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select(F.explode(F.split(cleaning.unaccent(F.col("text")), r"[^a-z0-9]+")).alias("word")).where("word <> ''")
-    return d.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    # Accents are taken off distinct words, each once, and not off whole texts.
+    words = table(spark, sf_dir, "documents").select(F.explode(F.split("text", r"[^\p{L}\p{N}\p{M}]+")).alias("raw")).groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
+    plain = words.select(F.explode(F.split(cleaning.unaccent(F.col("raw")), r"[^a-z0-9]+")).alias("word"), "n").where("word <> ''")
+    return plain.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def f1_where_clauses(spark: SparkSession, sf_dir: str) -> DataFrame:

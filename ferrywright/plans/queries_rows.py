@@ -169,6 +169,22 @@ def s4_table_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relational.with_rownum(selection.order_tables(catalog, "size"), [F.desc("bytes"), F.col("table_name")], "place")
 
 
+def k10_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables read, and read and transformed, with nothing written: their rows, and that the rate is theirs over the time."""
+    l, d = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "documents")  # noqa: E741
+    found = {"read": writers.throughput(l), "transformed": writers.throughput(d.withColumn("text", F.upper("text")))}
+    rows = [(n, x["rows"], abs(x["rows_per_second"] * x["seconds"] - x["rows"]) < 1) for n, x in found.items()]
+    return spark.createDataFrame(rows, "form string, n long, rate_fits boolean")
+
+
+def c3_flashback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A versioned table as of a moment given by an expression, SYSDATE less some days, and the clause that asks a source for it."""
+    last = F.lit("1998-08-02 00:00:00").cast("timestamp")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderdate") + F.expr("interval 400 days")).alias("valid_to"))
+    kept = readers.versions_as_of(o, oracle.date_plus(last, -500.25), "o_orderdate", "valid_to")
+    return kept.select("o_orderkey", F.lit(readers.as_of_clause("oracle", timestamp="SYSDATE - 500.25")).alias("clause"))
+
+
 _NOW = "sysdate systimestamp now utc_timestamp getdate getutcdate sysdatetime yesterday half_day sysdate_seconds now_seconds getdate_millis curdate curtime".split()
 _KIND = "CASE o_orderstatus WHEN 'F' THEN 'FUNCTION' WHEN 'O' THEN 'VIEW' ELSE 'TRIGGER' END"
 QUERIES = {
@@ -221,5 +237,10 @@ QUERIES = {
         m23_conversions,
         "WITH d AS (SELECT doc_id, substr(text, 1, 200) AS t FROM documents) SELECT doc_id, regexp_replace(t, '[^\\x{00}-\\x{FF}]', '?', 'g') AS latin, regexp_replace(t, '[^\\x{00}-\\x{7F}]', '?', 'g') AS plain, lower(t) = upper(t) AS same, true AS rand, doc_id || '/' || doc_id * 2 AS pair, 100 + 5 * row_number() OVER (ORDER BY doc_id DESC) AS number FROM d",
     ),
+    "k10_throughput": (k10_throughput, "SELECT 'read' AS form, count(*) AS n, true AS rate_fits FROM lineitem UNION ALL SELECT 'transformed', count(*), true FROM documents"),
+    "c3_flashback": (
+        c3_flashback,
+        "SELECT o_orderkey, 'AS OF TIMESTAMP SYSDATE - 500.25' AS clause FROM orders WHERE o_orderdate <= TIMESTAMP '1998-08-02' - INTERVAL 12006 HOUR AND (o_orderkey % 3 <> 0 OR o_orderdate + INTERVAL 400 DAY > TIMESTAMP '1998-08-02' - INTERVAL 12006 HOUR)",
+    ),
     "s4_table_order": (s4_table_order, "SELECT s_name AS table_name, floor(abs(s_acctbal))::BIGINT AS bytes, row_number() OVER (ORDER BY floor(abs(s_acctbal)) DESC, s_name) AS place FROM supplier"),
 }

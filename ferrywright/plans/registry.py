@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferrywright.plans import queries_checks, queries_mechanisms, queries_more, queries_movement, queries_relational, queries_rows
+from ferrywright.plans import queries_checks, queries_counters, queries_mechanisms, queries_more, queries_movement, queries_relational, queries_rows, queries_units
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _modules() -> list:
-    return [queries_movement, queries_relational, queries_checks, queries_more, queries_mechanisms, queries_rows]
+    return [queries_movement, queries_relational, queries_checks, queries_more, queries_mechanisms, queries_rows, queries_counters, queries_units]
 
 
 def queries() -> dict[str, Query]:

@@ -256,3 +256,44 @@ def test_rownum_of_an_order_of_few_values(spark):
     df = spark.range(5000).select((F.col("id") % 2).alias("g"), "id")
     got = relational.with_rownum(df, [F.col("g")]).collect()
     assert sorted(r.rownum for r in got) == list(range(1, 5001)) and all(r.g == (r.rownum > 2500) for r in got)
+
+
+def test_every_rule_has_an_example():
+    from ferrywright.plans import assessment, queries_counters
+
+    for dialect, (rules, functions) in assessment.DIALECTS.items():
+        met = {k for _, counts in queries_counters.examples(dialect) for k in counts}
+        assert met == {k for k, w, _ in rules if w} | {f for f, _, _ in functions}
+
+
+@pytest.mark.parametrize("dialect", ["oracle", "mysql", "tsql"])
+def test_a_package_of_a_megabyte(spark, dialect):
+    import time
+
+    from ferrywright.plans import assessment
+
+    line = "SELECT a, b FROM t WHERE EXEC CONTAINS(x) SCORE(y) MATCH near fuzzy at_ TABLES from u, v into w, sp and exec\n"
+    code = spark.createDataFrame([("d", "FUNCTION", "f", line * (1_000_000 // len(line)))], "db string, object_type string, name string, code string")
+    spark.range(10).count()
+    began = time.time()
+    found = {r.keyword: r.n for r in assessment.score_details(code, dialect).collect()}
+    assert time.time() - began < 30
+    if dialect == "oracle":
+        n = 1_000_000 // len(line)
+        assert found["CONTAINS"] == n and found["SCORE"] == 1 and "FUZZY" not in found and "DBLINK" not in found and "TABLE" not in found
+
+
+def test_something_ahead_is_counted_as_the_pattern_does(spark):
+    import re
+
+    from ferrywright.plans import assessment
+
+    rnd = random.Random(7)
+    words = ["FROM", " ", ";", "TABLE (", "xTABLE(", " WHERE ", "EXEC", "a@b", "@", "SCORE(", "CONTAINS(", "FUZZY(", "NEAR(", "\n", "MATCH", "AGAINST", ".SP_A", " SP_", "x"]
+    texts = ["".join(rnd.choice(words) for _ in range(rnd.randint(0, 25))) for _ in range(400)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    counts = {p: assessment._count_ahead(F.col("t"), F.upper("t"), p) for p in assessment.AHEAD}
+    rows = df.select("i", *[c.alias(str(k)) for k, c in enumerate(counts.values())]).collect()
+    for r in rows:
+        for k, pattern in enumerate(counts):
+            assert r[str(k)] == len(re.findall(f"(?is){pattern}", texts[r.i])), (pattern, texts[r.i])
