@@ -453,3 +453,97 @@ def binary(x: Column) -> Column:
 def rand(seed: int | None = None) -> Column:
     """RAND: in [0, 1); with a seed the same numbers for the same rows and partitions."""
     return F.rand(seed)
+
+
+def _by_batch(returns: str):
+    """A function of one value over Arrow batches; nulls stay null, and so does what the value does not allow."""
+
+    def make(work):
+        import pandas as pd
+
+        def run(values):
+            return values.map(lambda v: None if v is None else work(v))
+
+        run.__annotations__ = {"values": pd.Series, "return": pd.Series}
+        return F.pandas_udf(run, returns)
+
+    return make
+
+
+def compress(x: Column) -> Column:
+    """COMPRESS: four bytes of the length, the lowest first, and a zlib stream; of an empty value an empty one."""
+
+    @_by_batch("binary")
+    def run(v: bytes) -> bytes:
+        import zlib
+
+        return len(v).to_bytes(4, "little") + zlib.compress(v) if v else b""
+
+    return run(x.cast("binary"))
+
+
+def uncompress(x: Column) -> Column:
+    """UNCOMPRESS: null for what is no such value."""
+
+    @_by_batch("binary")
+    def run(v: bytes) -> bytes | None:
+        import zlib
+
+        if not v:
+            return b""
+        try:
+            return zlib.decompress(v[4:])
+        except zlib.error:
+            return None
+
+    return run(x.cast("binary"))
+
+
+def uncompressed_length(x: Column) -> Column:
+    """UNCOMPRESSED_LENGTH: what the first four bytes say."""
+    digits = F.hex(x)
+    swapped = F.concat(*[F.substring(digits, i, 2) for i in (7, 5, 3, 1)])
+    return F.when(F.octet_length(x) == 0, 0).when(F.octet_length(x) > 4, F.conv(swapped, 16, 10).cast("long"))
+
+
+def inet_aton(x: Column) -> Column:
+    """INET_ATON: a dotted address of four parts as a number; null if it is none."""
+    parts = F.split(x, r"\.")
+    good = x.rlike(r"^(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?:\.|$)){4}$") & ~x.endswith(".")
+    return F.when(good, sum((F.get(parts, F.lit(i)).cast("long") * (1 << 8 * (3 - i)) for i in range(4)), F.lit(0).cast("long")))
+
+
+def inet_ntoa(n: Column) -> Column:
+    """INET_NTOA: null outside of 32 bits."""
+    return F.when(n.between(0, (1 << 32) - 1), F.concat_ws(".", *[F.shiftright(n.cast("long"), 8 * (3 - i)).bitwiseAND(F.lit(255).cast("long")).cast("string") for i in range(4)]))
+
+
+def inet6_aton(x: Column) -> Column:
+    """INET6_ATON: the 16 bytes of an address, 4 of a dotted one; null if it is neither."""
+
+    @_by_batch("binary")
+    def run(v: str) -> bytes | None:
+        import ipaddress
+
+        try:
+            return ipaddress.ip_address(v).packed
+        except ValueError:
+            return None
+
+    return run(x)
+
+
+def inet6_ntoa(x: Column) -> Column:
+    """INET6_NTOA: the shortest text of 16 bytes, or of 4; the last 32 bits of a mapped address are dotted."""
+
+    @_by_batch("string")
+    def run(v: bytes) -> str | None:
+        import ipaddress
+
+        if len(v) not in (4, 16):
+            return None
+        found = ipaddress.ip_address(v)
+        mapped = getattr(found, "ipv4_mapped", None)
+        return f"::ffff:{mapped}" if mapped else str(found)
+
+    return run(x)

@@ -185,6 +185,20 @@ def c3_flashback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("o_orderkey", F.lit(readers.as_of_clause("oracle", timestamp="SYSDATE - 500.25")).alias("clause"))
 
 
+def m24_binary_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """COMPRESS and back, INET_ATON and INET6_ATON and back, over pages and events."""
+    p = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.encode("html", "UTF-8").alias("v")).withColumn("c", mysql.compress(F.col("v")))
+    packed = p.select(F.lit("compress").alias("form"), "id", F.sha2(mysql.uncompress(F.col("c")), 256).alias("text"), mysql.uncompressed_length(F.col("c")).alias("n"))
+    k = F.col("event_id")
+    dotted = F.concat_ws(".", *[(F.floor(k / d) % 256).cast("string") for d in (77, 5, 3, 1)])
+    e = table(spark, sf_dir, "events").select(k.alias("id"), dotted.alias("four"), F.concat(F.lit("2001:db8::"), F.lower(F.hex(k % 65535 + 1))).alias("six"))
+    four = e.select(F.lit("inet").alias("form"), "id", mysql.inet_ntoa(mysql.inet_aton(F.col("four"))).alias("text"), mysql.inet_aton(F.col("four")).alias("n"))
+    bits = mysql.inet6_aton(F.col("six"))
+    six = e.select(F.lit("inet6").alias("form"), "id", F.concat(F.hex(bits), F.lit(" "), mysql.inet6_ntoa(bits)).alias("text"), F.octet_length(bits).cast("long").alias("n"))
+    bad = e.select(F.lit("none").alias("form"), "id", F.coalesce(mysql.inet6_ntoa(mysql.inet6_aton(F.concat("four", F.lit(":")))), F.hex(mysql.uncompress(F.lit("12345678").cast("binary")))).alias("text"), mysql.inet_aton(F.concat("four", F.lit(".1"))).alias("n"))
+    return packed.unionByName(four).unionByName(six).unionByName(bad)
+
+
 _NOW = "sysdate systimestamp now utc_timestamp getdate getutcdate sysdatetime yesterday half_day sysdate_seconds now_seconds getdate_millis curdate curtime".split()
 _KIND = "CASE o_orderstatus WHEN 'F' THEN 'FUNCTION' WHEN 'O' THEN 'VIEW' ELSE 'TRIGGER' END"
 QUERIES = {
@@ -237,6 +251,12 @@ QUERIES = {
         m23_conversions,
         "WITH d AS (SELECT doc_id, substr(text, 1, 200) AS t FROM documents) SELECT doc_id, regexp_replace(t, '[^\\x{00}-\\x{FF}]', '?', 'g') AS latin, regexp_replace(t, '[^\\x{00}-\\x{7F}]', '?', 'g') AS plain, lower(t) = upper(t) AS same, true AS rand, doc_id || '/' || doc_id * 2 AS pair, 100 + 5 * row_number() OVER (ORDER BY doc_id DESC) AS number FROM d",
     ),
+    "m24_binary_forms": (
+        m24_binary_forms,
+        """WITH e AS (SELECT event_id AS id, event_id // 77 % 256 AS a, event_id // 5 % 256 AS b, event_id // 3 % 256 AS c, event_id % 256 AS d, event_id % 65535 + 1 AS k FROM events)
+        SELECT 'compress' AS form, page_id AS id, sha256(html) AS text, strlen(html) AS n FROM pages UNION ALL SELECT 'inet', id, a || '.' || b || '.' || c || '.' || d, a * 16777216 + b * 65536 + c * 256 + d FROM e
+        UNION ALL SELECT 'inet6', id, '20010DB8' || repeat('0', 20) || lpad(printf('%X', k), 4, '0') || ' 2001:db8::' || printf('%x', k), 16 FROM e UNION ALL SELECT 'none', id, NULL, NULL FROM e""",
+    ),
     "k10_throughput": (k10_throughput, "SELECT 'read' AS form, count(*) AS n, true AS rate_fits FROM lineitem UNION ALL SELECT 'transformed', count(*), true FROM documents"),
     "c3_flashback": (
         c3_flashback,
