@@ -297,3 +297,23 @@ def test_something_ahead_is_counted_as_the_pattern_does(spark):
     for r in rows:
         for k, pattern in enumerate(counts):
             assert r[str(k)] == len(re.findall(f"(?is){pattern}", texts[r.i])), (pattern, texts[r.i])
+
+
+def test_large_objects_in_chunks(spark):
+    import hashlib
+
+    from ferrywright.sources import writers
+
+    sizes = {1: 1, 2: 4095, 3: 4096, 4: 4097, 5: 5_000_000, 6: 200_000_000, 7: 0}
+    rows = spark.createDataFrame([*sizes.items(), (8, None)], "id long, n int")
+    value = F.encode(F.substring(F.repeat(F.lit("abcdefg"), F.ceil(F.col("n") / 7).cast("int")), 1, F.col("n")), "UTF-8")
+    for size in (4096, 4 << 20):
+        some = rows if size > 4096 else rows.where("n < 10000000 or n is null")
+        chunks = writers.to_chunks(some.repartition(4).select("id", value.alias("v")), ["id"], "v", size)
+        got = {r.id: (r.n_bytes, r.sha256) for r in writers.digest_chunks(chunks, ["id"]).collect()}
+        assert got == {r.id: (r.n, hashlib.sha256((b"abcdefg" * (r.n // 7 + 1))[: r.n]).hexdigest()) if r.n is not None else (None, None) for r in some.collect()}
+        assert chunks.agg(F.max("n_bytes")).first()[0] <= size
+    wanted = spark.createDataFrame([(5, 4_999_990, 100), (4, 4090, 4), (3, 5000, 10), (9, 0, 5)], "id long, offset int, length int")
+    parts = writers.read_ranges(writers.to_chunks(rows.where("n < 10000000").select("id", value.alias("v")), ["id"], "v", 4096), wanted, ["id"]).collect()
+    whole = b"abcdefg" * 800_000
+    assert {r.id: bytes(r.part) for r in parts} == {5: whole[4_999_990:5_000_000], 4: whole[4090:4094]}
