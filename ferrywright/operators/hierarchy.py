@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from ferrywright.operators.relational import with_rownum
 from ferrywright.scratch import checkpoint
 
+#: Rows at which Spark stops a recursion, a million where it is unset.
+ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
+
 
 def connect_by(
     df: DataFrame,
@@ -83,9 +86,20 @@ def connect_by(
 
 
 def recursive_cte(spark, sql: str, max_levels: int = 100) -> DataFrame:
-    """A recursive common table expression as Spark has it, with a limit of levels that is part of the statement (of its first expression)."""
+    """A recursive common table expression as Spark has it, with a limit of levels that is part of the statement (of its first expression).
+
+    It is computed here, once: levels alone bound it, and Spark's limit of rows, which holds for a session, is off meanwhile.
+    """
     limited = re.sub(r"(?is)\b(with\s+recursive\s+\w+\s*(?:\([^)]*\))?)\s*\bas\b", lambda m: f"{m[1]} MAX RECURSION LEVEL {int(max_levels)} AS", sql, count=1)
-    return spark.sql(limited)
+    before = spark.conf.get(ROW_LIMIT, None)
+    try:
+        spark.conf.set(ROW_LIMIT, "-1")
+        return checkpoint(spark.sql(limited))
+    finally:
+        if before is None:
+            spark.conf.unset(ROW_LIMIT)
+        else:
+            spark.conf.set(ROW_LIMIT, before)
 
 
 def dependency_levels(edges: DataFrame, node: str = "name", needs: str = "referenced_name", max_depth: int = 100) -> DataFrame:
