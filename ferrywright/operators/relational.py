@@ -73,9 +73,9 @@ def keep_dense_rank(df: DataFrame, by: Sequence[str], order: Sequence[Column], a
 
 
 def keep_over(value: str, partition: Sequence[str], order: str, first: bool = True) -> Column:
-    """The KEEP form as a window: the value of the first or last row by the order."""
-    window = Window.partitionBy(*partition)
-    return (F.min_by if first else F.max_by)(value, order).over(window)
+    """The KEEP form as a window: the value of the first or last row by the order, nulls last; of rows that tie the least value, however they are read."""
+    by = F.col(order).asc_nulls_last() if first else F.col(order).desc_nulls_last()
+    return F.first(value).over(Window.partitionBy(*partition).orderBy(by, F.col(value).asc_nulls_last()))
 
 
 def group_having(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column], having: str) -> DataFrame:
