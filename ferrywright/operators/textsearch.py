@@ -150,25 +150,58 @@ def _gram_table(df: DataFrame) -> DataFrame:
     return checkpoint(grams.select(F.monotonically_increasing_id().alias("key"), "text", "grams", F.size("grams").alias("n")))
 
 
+#: Longs of the bitmaps of trigrams that part most pairs before they are made distinct, and rows of a list of one trigram that are held at once.
+BITMAP = 4
+LIST_SHARD = 4096
+
+
+def _rarest(grams: DataFrame, counts: DataFrame, name: str, key: str, threshold: float) -> DataFrame:
+    """``(key, n, place, first, g, m0 ..)``: the rarest trigrams of each text, as many as it may have to be asked for by; ``first`` are those that a text needs against larger ones."""
+    own = Window.partitionBy("key")
+    bit = F.expr("shiftleft(1L, cast(pmod(shiftrightunsigned(_hash, 8), 64) as int))")
+    maps = {f"m{i}": F.bit_or(F.when(F.pmod("_hash", F.lit(BITMAP)) == i, bit).otherwise(F.lit(0).cast("long"))).over(own) for i in range(BITMAP)}
+    placed = grams.select(F.col(f"{name}_{key}").alias("key"), F.col(f"{name}_n").cast("long").alias("n"), "g").join(counts, "g").withColumn("_hash", F.xxhash64("g")).withColumns({"place": F.row_number().over(own.orderBy("_held", "g")), **maps})
+    left_after = lambda share: F.col("n") - F.greatest(F.lit(1), F.ceil(F.col("n") * share - 1e-9)) + 1
+    first = F.col("place") <= left_after(2 * threshold / (1 + threshold))
+    return checkpoint(placed.where(F.col("place") <= left_after(threshold)).select("key", "n", "place", first.alias("first"), "g", *maps))
+
+
+def _meet(smaller: DataFrame, larger: DataFrame, threshold: float, order: Column) -> DataFrame:
+    """``(s_key, s_n, l_key, l_n)``, each pair once, of the pairs of which the rarest trigrams meet, by the ``order`` of their sizes, and which their bitmaps do not part."""
+    listed = smaller.where("first")
+    lists = listed.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / LIST_SHARD).alias("_shards"))
+    names = lambda side: [F.col(c).alias(f"{side}_{c}") for c in ("key", "n", "place", *[f"m{i}" for i in range(BITMAP)])]
+    # A long list is cut into shards, each of which all that ask for its trigram see.
+    left = listed.join(lists, "g").select("g", F.pmod(F.xxhash64("key"), "_shards").alias("_shard"), *names("s"))
+    right = larger.join(lists, "g").select("g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_shards") - 1)).alias("_shard"), *names("l"))
+    at_most = 1 + F.least(F.col("s_n") - F.col("s_place"), F.col("l_n") - F.col("l_place"))
+    reach = at_most >= (F.col("s_n") + F.col("l_n")) * (threshold / (1 + threshold)) - 1e-6
+    # Each bit in which two bitmaps differ is a trigram that one text alone has.
+    apart = sum((F.bit_count(F.col(f"s_m{i}").bitwiseXOR(F.col(f"l_m{i}"))) for i in range(BITMAP)), F.lit(0))
+    near = apart <= (F.col("s_n") + F.col("l_n")) * ((1 - threshold) / (1 + threshold)) + 1e-6
+    sizes = F.col("s_n") >= F.col("l_n") * threshold - 1e-9
+    return right.join(left, ["g", "_shard"]).where(order & sizes & reach & near).select("s_key", "s_n", "l_key", "l_n").distinct()
+
+
 def trigram_candidates(left: DataFrame, right: DataFrame, threshold: float, key: str = "text") -> DataFrame:
     """``(a_<key>, b_<key>, a_n, b_n)`` of the pairs that can be alike, of ``(a_<key>, a_n, g)`` and ``(b_<key>, b_n, g)`` tables.
 
-    Texts of a similarity of ``threshold`` share that part of each one's trigrams at least, so one of
+    Texts of a similarity of ``threshold`` share that part of each one's trigrams at least, and of the smaller one's still more, so one of
     the trigrams before them is shared too, if all are in one order. The rarest ones come first. What is left
-    behind the first shared one on either side bounds how many can be shared, which parts most pairs before they are made distinct.
+    behind the first shared one on either side bounds how many can be shared; that and bitmaps part most pairs where they meet, before they are
+    shuffled. If ``right`` is ``left`` each pair is given once, the lesser key first.
     """
+    names = [f"a_{key}", f"b_{key}", "a_n", "b_n"]
+    if right is left:
+        counts = left.groupBy("g").agg(F.count(F.lit(1)).alias("_held"))
+        own = _rarest(left, counts, "a", key, threshold)
+        found = _meet(own, own, threshold, (F.col("s_n") < F.col("l_n")) | (F.col("s_n") == F.col("l_n")) & (F.col("s_key") <= F.col("l_key")))
+        sides = [F.struct(F.col(f"{x}_key").alias("key"), F.col(f"{x}_n").alias("n")) for x in "sl"]
+        return found.select(F.least(*sides).alias("a"), F.greatest(*sides).alias("b")).select("a.key", "b.key", "a.n", "b.n").toDF(*names)
     counts = left.select("g").unionAll(right.select("g")).groupBy("g").agg(F.count(F.lit(1)).alias("_held"))
-
-    def rarest(grams: DataFrame, name: str) -> DataFrame:
-        place = F.row_number().over(Window.partitionBy(f"{name}_{key}").orderBy("_held", "g"))
-        needed = F.greatest(F.lit(1), F.ceil(F.col(f"{name}_n") * threshold - 1e-9))
-        placed = grams.join(counts, "g").withColumn(f"{name}_place", place)
-        return placed.where(F.col(f"{name}_place") <= F.col(f"{name}_n") - needed + 1).select(f"{name}_{key}", f"{name}_n", f"{name}_place", "g")
-
-    sizes = (F.col("a_n") >= F.col("b_n") * threshold - 1e-9) & (F.col("b_n") >= F.col("a_n") * threshold - 1e-9)
-    at_most = 1 + F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
-    reach = at_most >= (F.col("a_n") + F.col("b_n")) * (threshold / (1 + threshold)) - 1e-6
-    return rarest(left, "a").join(rarest(right, "b"), "g").where(sizes & reach).select(f"a_{key}", f"b_{key}", "a_n", "b_n").distinct()
+    a, b = _rarest(left, counts, "a", key, threshold), _rarest(right, counts, "b", key, threshold)
+    up, down = _meet(a, b, threshold, F.col("s_n") <= F.col("l_n")), _meet(b, a, threshold, F.col("s_n") < F.col("l_n"))
+    return up.select("s_key", "l_key", "s_n", "l_n").toDF(*names).unionAll(down.select("l_key", "s_key", "l_n", "s_n").toDF(*names))
 
 
 def trigram_join(a: DataFrame, b: DataFrame, threshold: float = 0.3) -> DataFrame:
@@ -182,17 +215,15 @@ def trigram_join(a: DataFrame, b: DataFrame, threshold: float = 0.3) -> DataFram
     left = _gram_table(a)
     right = left if same else _gram_table(b)
     grams = {k: df.select(F.col("key").alias(f"{k}_key"), F.col("n").alias(f"{k}_n"), F.explode("grams").alias("g")) for k, df in (("a", left), ("b", right))}
-    texts = {k: df.select(F.col("key").alias(f"{k}_key"), F.col("text").alias(f"{k}_text"), F.col("grams").alias(f"{k}_grams")) for k, df in (("a", left), ("b", right))}
-    pairs = trigram_candidates(grams["a"], grams["b"], threshold, "key")
-    if same:
-        pairs = pairs.where("a_key <= b_key")
+    sets = {k: df.select(F.col("key").alias(f"{k}_key"), F.col("grams").alias(f"{k}_grams")) for k, df in (("a", left), ("b", right))}
+    pairs = trigram_candidates(grams["a"], grams["a"] if same else grams["b"], threshold, "key")
     n = F.size(F.array_intersect("a_grams", "b_grams"))
     # Counted before the filter, on rows of their own, so that no step computes it again.
-    shared = pairs.join(texts["a"], "a_key").join(texts["b"], "b_key").select("a_key", "b_key", "a_text", "b_text", "a_n", "b_n", n.alias("n"))
+    shared = pairs.join(sets["a"], "a_key").join(sets["b"], "b_key").select("a_key", "b_key", "a_n", "b_n", n.alias("n"))
     similarity = F.col("n") / (F.col("a_n") + F.col("b_n") - F.col("n"))
-    alike = shared.withColumn("similarity", similarity).where(F.col("similarity") >= threshold)
+    alike = shared.withColumn("similarity", similarity).where(F.col("similarity") >= threshold).select("a_key", "b_key", "similarity")
     if same:
-        mirror = F.when(F.col("a_key") == F.col("b_key"), F.array(F.struct("a_text", "b_text"))).otherwise(F.array(F.struct("a_text", "b_text"), F.struct(F.col("b_text").alias("a_text"), F.col("a_text").alias("b_text"))))
+        mirror = F.when(F.col("a_key") == F.col("b_key"), F.array(F.struct("a_key", "b_key"))).otherwise(F.array(F.struct("a_key", "b_key"), F.struct(F.col("b_key").alias("a_key"), F.col("a_key").alias("b_key"))))
         alike = alike.select("similarity", F.inline(mirror))
-    ids = {k: df.select(F.col("id").alias(f"{k}_id"), F.col("text").alias(f"{k}_text")) for k, df in (("a", a), ("b", b))}
-    return alike.select("a_text", "b_text", "similarity").join(ids["a"], "a_text").join(ids["b"], "b_text").select("a_id", "b_id", "similarity")
+    ids = {k: df.join(known.select("key", "text"), "text").select(F.col("id").alias(f"{k}_id"), F.col("key").alias(f"{k}_key")) for k, df, known in (("a", a, left), ("b", b, right))}
+    return alike.join(ids["a"], "a_key").join(ids["b"], "b_key").select("a_id", "b_id", "similarity")
