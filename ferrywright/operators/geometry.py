@@ -131,6 +131,21 @@ def mbr_join(a: DataFrame, b: DataFrame, predicate: str, size: float) -> DataFra
     return _box_pairs(a, b, size).where(mbr_test(predicate)).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"))
 
 
+def mbr_counts(a: DataFrame, b: DataFrame, predicate: str, size: float) -> DataFrame:
+    """``(b_id, n)``: how many boxes of a meet the predicate with those of each id of b; ids that have none are left out.
+
+    Boxes of the same corners are compared once and counted as often as they are there, and no pair of rows is made:
+    the work goes with the distinct boxes of both sides and the pairs that these make.
+    """
+    corners = ["x0", "y0", "x1", "y1"]
+    if predicate == "disjoint":
+        raise ValueError("for disjoint boxes take those that intersect from the number of all")
+    left = a.where(" and ".join(f"{c} is not null" for c in corners)).groupBy(*corners).agg(F.count(F.lit(1)).alias("copies"))
+    right = b.select(*corners).distinct()
+    found = _box_pairs(left, right, size).where(mbr_test(predicate)).groupBy(*[F.col(f"b.{c}").alias(c) for c in corners]).agg(F.sum("a.copies").alias("n"))
+    return b.select(F.col("id").alias("b_id"), *corners).join(found, corners).groupBy("b_id").agg(F.sum("n").alias("n"))
+
+
 def mbr_disjoint(queries: DataFrame, b: DataFrame, block: int = 10_000) -> DataFrame:
     """``(a_id, b_id)`` of the boxes that do not meet those of a stated query set: blocks of at most ``block`` queries, each broadcast to all rows."""
     names = ["id", "x0", "y0", "x1", "y1"]

@@ -104,7 +104,7 @@ def g7_box_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     large = boxes_of(spark, sf_dir, "supplier", "s_suppkey", 1.0)
     sized = large.withColumns({"x1": F.col("x0") + F.pow(F.lit(2.0), F.col("id") % 7), "y1": F.col("y0") + F.pow(F.lit(2.0), F.col("id") % 5)})
     whole = large.agg(F.lit(0).cast("long").alias("id"), (F.min("x0") - 1000).alias("x0"), (F.min("y0") - 1000).alias("y0"), (F.max("x0") + 1000).alias("x1"), (F.max("y0") + 1000).alias("y1"))
-    return geometry.mbr_join(small, sized.unionByName(whole.select(*sized.columns)), "intersects", 1.0).groupBy("b_id").agg(F.count(F.lit(1)).alias("n"))
+    return geometry.mbr_counts(small, sized.unionByName(whole.select(*sized.columns)), "intersects", 1.0)
 
 
 def g7_disjoint(spark: SparkSession, sf_dir: str) -> DataFrame:
