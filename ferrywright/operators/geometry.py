@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferrywright.operators.relational import with_rownum
+from ferrywright.scratch import checkpoint
+
+#: Vertices of a polygon that is told apart from others by all of them.
+SMALL_SHAPE = 64
 
 # Names of the types in the last two digits of a gtype.
 TYPE_NAMES = {1: "POINT", 2: "LINESTRING", 3: "POLYGON", 4: "GEOMETRYCOLLECTION", 5: "MULTIPOINT", 6: "MULTILINESTRING", 7: "MULTIPOLYGON"}
@@ -158,13 +162,29 @@ def mbr_disjoint(queries: DataFrame, b: DataFrame, block: int = 10_000) -> DataF
     return out if out is not None else queries.select(F.col("id").alias("a_id"), F.col("id").alias("b_id")).limit(0)
 
 
+def _same_shapes(rings: DataFrame) -> DataFrame:
+    """``(id, shape)``: the least id of the polygons that have the same vertices. Polygons of more than SMALL_SHAPE vertices stand for themselves, so that no large one is gathered."""
+    nth = F.row_number().over(Window.partitionBy("id").orderBy("elem", "pos"))
+    held = F.when(F.col("_nth") <= SMALL_SHAPE, F.struct("elem", "pos", "x", "y"))
+    forms = rings.where("id is not null").withColumn("_nth", nth).groupBy("id").agg(F.max("_nth").alias("n"), F.sort_array(F.collect_list(held)).alias("form"))
+    forms = forms.select("id", F.when(F.col("n") <= SMALL_SHAPE, F.col("form")).alias("form"))
+    first = forms.where("form is not null").groupBy("form").agg(F.min("id").alias("shape"))
+    small = forms.join(first, "form").select("id", "shape")
+    return checkpoint(small.unionAll(forms.where("form is null").select("id", F.col("id").alias("shape"))))
+
+
 def points_in_polygons(points: DataFrame, rings: DataFrame, size: float) -> DataFrame:
     """``(point_id, polygon_id)``: points ``(id, x, y)`` inside polygons given as vertices.
 
     Points and bounding boxes meet in a grid of several levels. An edge is kept under its polygon in the two rows at most that it
     covers at the level of its height, and a point looks one row up for each such level: it meets only
     edges at its own height, however large the polygon is. Crossings of a ray to the right are counted.
+
+    Points of one place and polygons of the same vertices are held against each other once; ids are joined back at the end, so that
+    what is shuffled before goes with the distinct places and shapes that meet, and the result alone with its rows.
     """
+    shapes = _same_shapes(rings)
+    rings = rings.join(shapes.where("id = shape"), "id", "left_semi")
     along = Window.partitionBy("id", "elem").orderBy("pos")
     edges = rings.withColumns({"nx": F.lead("x").over(along), "ny": F.lead("y").over(along)}).where("nx is not null and y <> ny").select("id", "x", "y", "nx", "ny")
     edges = edges.withColumn("level", F.greatest(F.lit(0), F.coalesce(F.ceil(F.log2(F.abs(F.col("ny") - F.col("y")) / size)), F.lit(0))).cast("int"))
@@ -172,12 +192,14 @@ def points_in_polygons(points: DataFrame, rings: DataFrame, size: float) -> Data
     dealt = edges.withColumn("row", F.explode(F.sequence(row(F.least("y", "ny")), row(F.greatest("y", "ny")))))
     levels = edges.groupBy("id").agg(F.collect_set("level").alias("levels"))
     boxes = bounding_boxes(rings)
-    dots = points.select("id", F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1"))
-    near = _box_pairs(dots, boxes, size).where(mbr_test("within")).select(F.col("a.id").alias("point_id"), F.col("a.x0").alias("px"), F.col("a.y0").alias("py"), F.col("b.id").alias("id"))
+    dots = points.select("x", "y").distinct().select(F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1"))
+    near = _box_pairs(dots, boxes, size).where(mbr_test("within")).select(F.col("a.x0").alias("px"), F.col("a.y0").alias("py"), F.col("b.id").alias("id"))
     asked = near.join(levels, "id").withColumn("level", F.explode("levels")).withColumn("row", row(F.col("py"))).drop("levels")
     crosses = ((F.col("y") > F.col("py")) != (F.col("ny") > F.col("py"))) & (F.col("px") < (F.col("nx") - F.col("x")) * (F.col("py") - F.col("y")) / (F.col("ny") - F.col("y")) + F.col("x"))
-    hits = asked.join(dealt, ["id", "level", "row"]).where(crosses).groupBy("point_id", "px", "py", F.col("id").alias("polygon_id")).agg(F.count(F.lit(1)).alias("n"))
-    return hits.where("n % 2 = 1").select("point_id", "polygon_id")
+    hits = asked.join(dealt, ["id", "level", "row"]).where(crosses).groupBy("px", "py", F.col("id").alias("shape")).agg(F.count(F.lit(1)).alias("n"))
+    inside = hits.where("n % 2 = 1").join(shapes, "shape").select("px", "py", F.col("id").alias("polygon_id"))
+    # A place's polygons are held, its points pass by.
+    return points.join(inside, (F.col("x") == F.col("px")) & (F.col("y") == F.col("py"))).select(F.col("id").alias("point_id"), "polygon_id")
 
 
 def assemble_shapes(points: DataFrame, id: str = "id") -> DataFrame:
